@@ -2,28 +2,50 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import exact_dedup, mixing, sharding
+from tributary.llm import bpe, embeddings, exact_dedup, mixing, sharding, simhash
 from tributary.llm.common import read
 
 
+def bpe_path() -> str:
+    """Where the vocabulary lies: TRIBUTARY_BPE, or the public tokenizers' file."""
+    if path := os.environ.get("TRIBUTARY_BPE"):
+        return path
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_dedup(read(spark, sf_dir, "embeddings"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_encode(read(spark, sf_dir, "documents"), bpe_path())
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_dedup(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents")).drop("row")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_mix_sources, op6_exact_dedup, op9_shard)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_near_dedup, op3_mix_sources, op5_bpe, op6_exact_dedup, op8_simhash_near_dedup, op9_shard)}
 
 OP6_SQL = r"""
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
