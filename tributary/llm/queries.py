@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, embeddings, exact_dedup, mixing, sharding, simhash
+from tributary.llm import bpe, embeddings, exact_dedup, language, mixing, sharding, simhash
 from tributary.llm.common import read
 
 
@@ -25,6 +25,10 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_dedup(read(spark, sf_dir, "embeddings"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -45,7 +49,7 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents")).drop("row")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_near_dedup, op3_mix_sources, op5_bpe, op6_exact_dedup, op8_simhash_near_dedup, op9_shard)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_near_dedup, op2_language_id, op3_mix_sources, op5_bpe, op6_exact_dedup, op8_simhash_near_dedup, op9_shard)}
 
 OP6_SQL = r"""
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
