@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, embeddings, exact_dedup, language, mixing, sharding, simhash
+from tributary.llm import bpe, embeddings, exact_dedup, language, mixing, pii, sharding, simhash, substring
 from tributary.llm.common import read
 
 
@@ -41,6 +41,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(read(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -49,7 +53,11 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents")).drop("row")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_near_dedup, op2_language_id, op3_mix_sources, op5_bpe, op6_exact_dedup, op8_simhash_near_dedup, op9_shard)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_near_dedup, op2_language_id, op3_mix_sources, op5_bpe, op6_exact_dedup, op7_substring_dedup, op8_simhash_near_dedup, op9_shard, op10_pii)}
 
 OP6_SQL = r"""
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
