@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, embeddings, exact_dedup, language, mixing, pii, sharding, simhash, substring
+from tributary.llm import bpe, embeddings, exact_dedup, language, licenses, mixing, pii, sharding, simhash, substring
 from tributary.llm.common import read
 
 
@@ -33,6 +33,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_encode(read(spark, sf_dir, "documents"), bpe_path())
 
@@ -57,7 +61,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_near_dedup, op2_language_id, op3_mix_sources, op5_bpe, op6_exact_dedup, op7_substring_dedup, op8_simhash_near_dedup, op9_shard, op10_pii)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_near_dedup, op2_language_id, op3_mix_sources, op4_license_scan, op5_bpe, op6_exact_dedup, op7_substring_dedup, op8_simhash_near_dedup, op9_shard, op10_pii)}
 
 OP6_SQL = r"""
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
