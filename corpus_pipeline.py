@@ -1,5 +1,64 @@
-"""placeholder"""
-STAGES = []
-ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""The corpus pipeline: language ID, exact dedup, SimHash near-dedup, mixing to target weights, BPE encoding.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each stage's rows to the shared folder and
+reads them again for the next one. All stages but the last return the columns of docs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tributary.llm import bpe, exact_dedup, language, mixing, simhash
+from tributary.llm.common import read, stage
+from tributary.llm.queries import bpe_path
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose language cannot be told: texts that are null or have no letter."""
+    return language.with_language(docs).where(F.col("_lang_pred") != language.UNKNOWN).select(*docs.columns)
+
+
+def _keep(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of docs whose place in the scan (uid) is among those kept."""
+    kept = decided.where("kept").select(F.col("uid").alias("_uid"))
+    return docs.withColumn("_uid", F.monotonically_increasing_id()).join(kept, "_uid", "left_semi").select(*docs.columns)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts stays, the one with the smallest doc_id."""
+    return _keep(docs, exact_dedup.exact_dedup(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints stays, the one with the smallest doc_id."""
+    return _keep(docs, simhash.simhash_dedup(docs))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix draws them, whole."""
+    return mixing.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and hashes of ids and of the decoded text."""
+    return bpe.bpe_encode(docs, bpe_path())
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_exact_copies),
+    ("simhash_near_dedup", drop_near_copies),
+    ("mix_sources", mix_sources),
+    ("bpe", encode),
+]
+
+#: Fingerprint links, language prototypes and BPE are beyond SQL; tests/llm holds the stages against brute force.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, function in STAGES:
+        docs = stage(function(spark, docs, sf_dir), name)
+    return docs
