@@ -4,7 +4,7 @@ A window is 50 consecutive words. Each window has an anchor, the least of the ha
 equal have equal anchors. Successive windows of one anchor are a segment: about 22 windows, known by a 128-bit fingerprint of
 all words that they cover. The index holds segments by anchor, as sorted immutable runs (bucketed tables), each segment with
 the first document that has it. A new batch, later in doc_id than those before it, is merge-joined with the runs: segments found there are duplicates
-as a whole, the others make up a new run; runs are compacted when there are too many. That leaves anchors under which
+as a whole; it is kept as a new run, and runs are compacted when there are too many. That leaves anchors under which
 several segments are known, as where a shared passage begins or ends: for these, and only these, the windows themselves
 are fingerprinted from the text, and verified against each other by 128 bits. No window that two documents
 share is missed, since its anchor, and so its segment, is compared with all others of that anchor.
@@ -134,9 +134,10 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class FingerprintIndex:
-    """Segments by anchor in sorted immutable runs: (anchor, seg, chk, first), each segment in one run.
+    """Segments in sorted immutable runs: (anchor, seg, chk, first), once per run; of several runs the earliest has the first document.
 
-    Runs are tables bucketed and sorted by anchor, so a batch and the runs are merged without a shuffle of the runs.
+    Runs are tables that are bucketed and sorted by the whole key, so a batch and the runs are merged without a shuffle,
+    and segments that share a common anchor are spread.
     """
 
     KEY = ("anchor", "seg", "chk")
@@ -147,49 +148,40 @@ class FingerprintIndex:
         self.runs: list[str] = []
 
     def _write(self, df: DataFrame) -> str:
+        """df comes from an aggregation by the key, which has dealt it out as the buckets are."""
         name = f"tributary_run_{uuid.uuid4().hex}"
-        df.repartition(self.buckets, "anchor").sortWithinPartitions(*self.KEY).write.bucketBy(self.buckets, "anchor").sortBy(*self.KEY).saveAsTable(name)
+        df.write.bucketBy(self.buckets, *self.KEY).sortBy(*self.KEY).saveAsTable(name)
         return name
 
     def append(self, rows: DataFrame) -> DataFrame:
-        """Adds a batch (anchor, seg, chk, id), whose ids are over all before; returns its repeated segments (anchor, seg, chk, first)."""
-        new = rows.groupBy(*self.KEY).agg(F.min("id").alias("first"), F.max("id").alias("last"))
-        fresh = self._write(new)
+        """Adds a batch (anchor, seg, chk, id), whose ids are over all before, as a run; returns its repeated segments (anchor, seg, chk, first)."""
+        fresh = self._write(rows.groupBy(*self.KEY).agg(F.min("id").alias("first"), F.max("id").alias("last")))
         new = self.spark.table(fresh)
-        known = None
-        for run in self.runs:
-            hit = new.drop("first", "last").join(self.spark.table(run).hint("merge"), list(self.KEY))
-            known = hit if known is None else known.unionByName(hit)
         repeated = new.where("first < last").drop("last")
-        if known is not None:
-            known = stage(known, "known")
-            run = new.drop("last").join(known.drop("first"), list(self.KEY), "left_anti")
-            repeated = repeated.join(known.drop("first"), list(self.KEY), "left_anti").unionByName(known)
-        else:
-            run = new.drop("last")
+        for run in self.runs:
+            repeated = repeated.unionByName(new.select(*self.KEY).join(self.spark.table(run).drop("last").hint("merge"), list(self.KEY)))
         repeated = stage(repeated, "repeated")
-        self.runs.append(self._write(run))
-        self.spark.sql(f"drop table {fresh}")
+        self.runs.append(fresh)
         if len(self.runs) > self.most_runs:
             self.compact()
         return repeated
 
     def compact(self) -> None:
-        """Merges all runs into one; they have no segment in common."""
+        """Merges all runs into one."""
         if len(self.runs) > 1:
             old, every = self.runs, self.spark.table(self.runs[0])
             for run in self.runs[1:]:
                 every = every.unionByName(self.spark.table(run))
-            self.runs = [self._write(every)]
+            self.runs = [self._write(every.groupBy(*self.KEY).agg(F.min("first").alias("first"), F.max("last").alias("last")))]
             for run in old:
                 self.spark.sql(f"drop table {run}")
 
     def contested(self) -> DataFrame:
         """(anchor, seg, chk, first) of the anchors that have several segments."""
         self.compact()
-        run = self.spark.table(self.runs[0])
+        run = self.spark.table(self.runs[0]).drop("last")
         several = run.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-        return stage(run.join(several.hint("merge"), "anchor", "left_semi"), "contested")
+        return stage(run.join(several, "anchor", "left_semi"), "contested")
 
     def drop(self) -> None:
         for run in self.runs:
@@ -230,25 +222,27 @@ def substring_dedup(docs: DataFrame, batches: int = 3, with_text: bool = False)
     index = FingerprintIndex(spark)
     cuts = active.agg(F.percentile_approx("id", [k / batches for k in range(1, batches)] or [0.5], 1_000).alias("q")).first()["q"] or []
     bounds = [None, *sorted(set(cuts)), None]
-    spans = None
+    repeated = None
     for low, high in zip(bounds, bounds[1:], strict=False):
-        batch = active
+        batch = active.select("anchor", "seg", "chk", "id")
         batch = batch if low is None else batch.where(F.col("id") > low)
         batch = batch if high is None else batch.where(F.col("id") <= high)
-        repeated = index.append(batch.select("anchor", "seg", "chk", "id"))
-        found = batch.join(checked(repeated), list(index.KEY)).where(F.col("first") < F.col("id")).select("id", "th", "pos", "len")
-        spans = found if spans is None else spans.unionByName(found)
+        found = index.append(batch)
+        repeated = found if repeated is None else repeated.unionByName(found)
 
-    # windows under anchors that have several segments, from the first document of each
+    # segments that an earlier document has go as a whole; under anchors that have several segments, the windows of the
+    # first document of each are looked at
     contested = index.contested()
-    parts = active.join(contested, list(index.KEY)).where(F.col("first") == F.col("id"))
-    parts = stage(parts.groupBy("id", "th").agg(F.collect_list("pos").alias("pos"), F.collect_list("len").alias("len")), "parts")
+    known = repeated.withColumn("contested", F.lit(False)).unionByName(contested.withColumn("contested", F.lit(True)))
+    known = known.groupBy(*index.KEY).agg(F.min("first").alias("first"), F.max("contested").alias("contested"))
     index.drop()
+    met = stage(active.join(known, list(index.KEY)).where("first < id or contested").select("id", "th", "pos", "len", (F.col("first") < F.col("id")).alias("gone")), "met")
+    spans = met.where("gone").select("id", "th", "pos", "len")
+    parts = stage(met.where("not gone").groupBy("id", "th").agg(F.collect_list("pos").alias("pos"), F.collect_list("len").alias("len")), "parts")
     texts = _texts(docs, parts.select("id", "th")).join(parts, ["id", "th"])
     windows = stage(texts.select("id", "th", "text", "pos", "len").mapInArrow(_windows, "h1 long, h2 long, id long, th long, pos int"), "windows")
     first = windows.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("h1", "h2", "first")
-    first = stage(first, "first")
-    single = windows.join(checked(first), ["h1", "h2"]).where(F.col("first") < F.col("id")).select("id", "th", "pos", F.lit(1).alias("len"))
+    single = windows.join(first, ["h1", "h2"]).where(F.col("first") < F.col("id")).select("id", "th", "pos", F.lit(1).alias("len"))
 
     spans = spans.unionByName(single).groupBy("id", "th").agg(F.collect_list("pos").alias("pos"), F.collect_list("len").alias("len"))
     spans = stage(spans, "spans")
