@@ -21,12 +21,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import text_bytes
+from tributary.llm.common import small_batches, text_bytes
 
 #: The pre-tokenizer pattern that byte-level BPE files with use_regex stand for.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words whose encodings a task remembers at a time.
-MEMORY = 400_000
+#: Words whose encodings a worker remembers at a time, and as many of those before; pairs of tokens that it remembers.
+MEMORY = 150_000
+PAIRS = 400_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -52,38 +53,40 @@ class Bpe:
             self.bytes[i] = word
         for word, i in self.special.items():
             self.bytes[i] = word.encode()
-        self.longest = max(map(len, self.token))
-        self.rank: dict[tuple[int, int], int] = {}
-        self.merged: dict[tuple[int, int], int] = {}
-        born: dict[int, int] = {}
-        halves: dict[int, tuple[int, int]] = {}
+        self.reach = [0] * 256  # the longest token that ends in a byte
+        for word in self.token:
+            self.reach[word[-1]] = max(self.reach[word[-1]], len(word))
+        self.rank: dict[int, int] = {}  # of a pair of tokens that merge
+        self.made: list[int] = []  # by rank: the token that comes of it
+        self.born: dict[int, int] = {}  # of a token: the rank of the first merge that makes it
+        self.halves: list[tuple[int, int]] = []
         for r, m in enumerate(config["model"]["merges"]):
             a, b = (vocab[x] for x in (m if isinstance(m, list) else m.split(" ")))
             c = self.token[self.bytes[a] + self.bytes[b]]
-            self.rank[a, b], self.merged[a, b] = r, c
-            if c not in born:
-                born[c], halves[c] = r, (a, b)
-        self.right_edge = {t: self._edge(t, 1, born, halves) for t in self.token.values()}
-        self.left_edge = {t: self._edge(t, 0, born, halves) for t in self.token.values()}
-        self.may_follow = cache(self._may_follow)
+            self.rank[a << 20 | b] = r
+            self.made.append(c)
+            self.halves.append((a, b))
+            self.born.setdefault(c, r)
+        self.apart: dict[int, bool] = {}  # of pairs that were asked for: may they stand side by side?
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = regex.compile(PATTERN)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    @staticmethod
-    def _edge(t: int, side: int, born: dict[int, int], halves: dict[int, tuple[int, int]]) -> list[tuple[int, int]]:
+    def _edge(self, t: int, side: int) -> list[tuple[int, int]]:
         """The pieces of t that stand at its border while it is merged: (piece, rank of the merge that takes it up)."""
-        out, until = [(t, sys.maxsize)], t
-        while until in halves:
-            piece = halves[until][side]
-            out.append((piece, born[until]))
-            until = piece
+        out = [(t, sys.maxsize)]
+        while (r := self.born.get(t)) is not None:
+            t = self.halves[r][side]
+            out.append((t, r))
         return out
 
-    def _may_follow(self, t: int, u: int) -> bool:
-        for a, until_a in self.right_edge[t]:
-            for b, until_b in self.left_edge[u]:
-                r = self.rank.get((a, b))
+    def may_follow(self, t: int, u: int) -> bool:
+        """Whether u may stand after t: no merge across their border comes before those that take up the pieces beside it."""
+        left = self._edge(u, 0)
+        for a, until_a in self._edge(t, 1):
+            for b, until_b in left:
+                r = self.rank.get(a << 20 | b)
                 if r is not None and r < until_a and r <= until_b:
                     return False
         return True
@@ -92,15 +95,18 @@ class Bpe:
         """Plain merging, lowest rank and leftmost first."""
         parts = [self.token[word[i : i + 1]] for i in range(len(word))]
         while len(parts) > 1:
-            r, i = min((self.rank.get((parts[i], parts[i + 1]), sys.maxsize), i) for i in range(len(parts) - 1))
+            r, i = min((self.rank.get(parts[i] << 20 | parts[i + 1], sys.maxsize), i) for i in range(len(parts) - 1))
             if r == sys.maxsize:
                 break
-            parts[i : i + 2] = [self.merged[parts[i], parts[i + 1]]]
+            parts[i : i + 2] = [self.made[r]]
         return parts
 
     def encode_words(self, words: list[bytes]) -> Iterator[list[int]]:
         """Encodings of the sorted distinct words: a depth-first walk of their trie."""
-        token, may_follow, longest = self.token, self.may_follow, self.longest
+        token, may_follow, reach = self.token.get, self.may_follow, self.reach
+        apart = self.apart
+        if len(apart) > PAIRS:
+            apart.clear()
         last: list[int] = [-1]  # last[i]: the last token of the path's first i bytes
         length: list[int] = [0]
         before = b""
@@ -109,10 +115,15 @@ class Bpe:
             shared = n if before[:n] == word[:n] else next(i for i in range(n) if before[i] != word[i])
             del last[shared + 1 :], length[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    t = token.get(word[start:end])
-                    if t is not None and (start == 0 or may_follow(last[start], t)):
-                        break
+                for start in range(end - reach[word[end - 1]] if end > 24 else 0, end):
+                    if start >= 0 and (t := token(word[start:end])) is not None:
+                        if start == 0:
+                            break
+                        ok = apart.get(pair := last[start] << 20 | t)
+                        if ok is None:
+                            ok = apart[pair] = may_follow(last[start], t)
+                        if ok:
+                            break
                 else:
                     raise ValueError("the vocabulary has no token for a byte")
                 last.append(t)
@@ -144,11 +155,14 @@ class Bpe:
             for part in text:
                 if not isinstance(part, int):
                     seen.update(part)
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        self.learn(seen - self.known.keys())
-        known = self.known
-        return [b"".join([part.to_bytes(4, "little") if isinstance(part, int) else b"".join([known[w] for w in part]) for part in text]) for text in cut]
+        if len(self.known) > MEMORY:  # words that are still in use come back from there
+            self.older, self.known = self.known, {}
+        new = seen - self.known.keys()
+        back = new & self.older.keys()
+        self.known.update(zip(back, map(self.older.__getitem__, back), strict=True))
+        self.learn(new - back)
+        ids = self.known.__getitem__
+        return [b"".join([part.to_bytes(4, "little") if isinstance(part, int) else b"".join(map(ids, part)) for part in text]) for text in cut]
 
     def decode(self, ids: bytes) -> str:
         table = self.bytes
@@ -204,4 +218,4 @@ def bpe_encode(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
-    return rows.mapInArrow(_encoder(path, keep_ids), schema)
+    return small_batches(rows).mapInArrow(_encoder(path, keep_ids), schema)
