@@ -58,6 +58,12 @@ def release() -> None:
 atexit.register(release)
 
 
+def small_batches(df: DataFrame, most: str = "8m") -> DataFrame:
+    """df, with the session set so that a batch of rows that goes to Python holds so many bytes at most (or one row)."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+    return df
+
+
 def checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it holds at most `limit` rows; a shuffled join otherwise. df should be cheap to count."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
@@ -68,6 +74,31 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def text_hash(column: str = "text") -> Column:
+    """With doc_id, what tells a row from others wherever it is read: places in a scan may change from one read to the next."""
+    return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
+
+
+def kept_rows(docs: DataFrame, decided: DataFrame, each: str | None = None) -> DataFrame:
+    """The rows of docs that `decided` (doc_id, th = text_hash(), kept) keeps, each of repeated rows once; with all their columns.
+
+    each: a column of decided with how often a kept row is to be repeated (summed over repeated rows).
+    """
+    times = F.sum(each) if each else F.lit(1)
+    keys = decided.groupBy("doc_id", "th").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"), times.cast("int").alias("_times")).where("kept")
+    keys = stage(keys.select(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_key"), "n", "_times"), "kept")
+    repeated = keys.where("n > 1").limit(1).count() > 0
+    keys = keys.drop("n")
+    rows = docs.withColumn("_th", text_hash())
+    if repeated:
+        rows = rows.dropDuplicates(["doc_id", "_th"])
+    on = rows["doc_id"].eqNullSafe(keys["_doc_id"]) & (rows["_th"] == keys["_key"])
+    if not each:
+        return rows.join(keys, on, "left_semi").select(*docs.columns)
+    many = rows.join(keys, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return many.select(*[rows[c] for c in docs.columns])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b: long): one row (node, component) per node that has an edge; component is the smallest node.
 

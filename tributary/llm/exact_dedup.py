@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import SPACE, checked, stage
+from tributary.llm.common import SPACE, checked, stage, text_hash
 
 
 def normalised(column: str = "text") -> Column:
@@ -50,16 +50,16 @@ def directory_table(spark: SparkSession, depth: int, buckets: list[tuple[int, in
 
 
 def exact_dedup(docs: DataFrame, capacity: int = 100_000, max_depth: int = 12, key_bits: int = 64) -> DataFrame:
-    """One row per row of docs: uid, doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of docs: uid, doc_id, th, keep_id, group_size, kept, text_sha256. uid tells rows of this result apart, no more.
 
     Of rows whose normalised texts are equal the one with the smallest doc_id stays (null last; of repeated rows with
     that doc_id exactly one stays). Null and empty texts are equal to each other. An empty table gives an empty result.
     Other columns are ignored. key_bits under 64 provokes collisions, for tests.
     """
     spark = docs.sparkSession
-    norm = docs.select("doc_id", normalised().alias("norm"))
+    norm = docs.select("doc_id", text_hash().alias("th"), normalised().alias("norm"))
     key = F.xxhash64("norm") if key_bits == 64 else F.shiftrightunsigned(F.xxhash64("norm"), 64 - key_bits)
-    rows = stage(norm.select(F.monotonically_increasing_id().alias("uid"), "doc_id", key.alias("key"), F.sha2("norm", 256).alias("text_sha256")), "rows")
+    rows = stage(norm.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "th", key.alias("key"), F.sha2("norm", 256).alias("text_sha256")), "rows")
 
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("head")
     entries = stage(rows.groupBy("key").agg(first, F.count(F.lit(1)).alias("group_size")), "entries")
@@ -77,12 +77,12 @@ def exact_dedup(docs: DataFrame, capacity: int = 100_000, max_depth: int = 12, k
     clash = stage(texts.groupBy("key").agg(F.min("norm").alias("low"), F.max("norm").alias("high")).where("low <> high").select("key"), "clash")
 
     heads = index.select("key", F.col("head.doc_id").alias("keep_id"), F.col("head.uid").alias("keep_uid"), "group_size")
-    columns = ["uid", "doc_id", "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"), "text_sha256"]
+    columns = ["uid", "doc_id", "th", "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"), "text_sha256"]
     if not clash.limit(1).count():
         return rows.join(heads, "key").select(*columns)
 
     # chained collisions: a few keys, whose rows are told apart by their bytes
-    chained = norm.select(F.monotonically_increasing_id().alias("uid"), "doc_id", key.alias("key"), F.sha2("norm", 256).alias("text_sha256"), "norm").join(checked(clash), "key")
+    chained = norm.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "th", key.alias("key"), F.sha2("norm", 256).alias("text_sha256"), "norm").join(checked(clash), "key")
     chained = stage(chained, "chained")
     chain = chained.groupBy("key", "norm").agg(first, F.count(F.lit(1)).alias("group_size"))
     chain = chain.select("key", "norm", F.col("head.doc_id").alias("keep_id"), F.col("head.uid").alias("keep_uid"), "group_size")

@@ -12,12 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import text_bytes
+from tributary.llm.common import small_batches, text_bytes
 
 DIMENSION = 512
 GRAM = 3
@@ -86,7 +85,7 @@ class Space:
         return out
 
 
-def _runs(texts: list[bytes], most: int = 400_000) -> Iterator[tuple[int, int]]:
+def _runs(texts: list[str] | list[bytes], most: int = 400_000) -> Iterator[tuple[int, int]]:
     at, held = 0, 0
     for k, t in enumerate(texts):
         held += len(t)
@@ -123,22 +122,22 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, parts: int = 16)
         labelled = labelled.where(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) < int(sample_rows / n * (1 << 30)))
     rows = labelled.select("lang", text_bytes().alias("text")).repartition(parts)
     found: dict[str, np.ndarray] = {}
-    for r in rows.mapInArrow(_profiles, "lang string, profile array<double>").collect():
+    for r in small_batches(rows).mapInArrow(_profiles, "lang string, profile array<double>").collect():
         found[r["lang"]] = found.get(r["lang"], 0) + np.array(r["profile"])
     found = {k: v for k, v in sorted(found.items()) if np.linalg.norm(v)}
     return {k: units(v[None])[0].astype(np.float32) for k, v in found.items()}
 
 
-def _classifier(prototypes: dict[str, np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _classifier(prototypes: dict[str, np.ndarray], whole: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     names = list(prototypes)
     matrix = np.stack([prototypes[k] for k in names]) if names else np.zeros((0, DIMENSION), np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = Space()
         for b in batches:
-            texts, pred, score = b["text"].to_pylist(), [], []
+            texts, pred, score = [t if isinstance(t, str) else (t or b"").decode("utf-8", "replace") for t in b["text"].to_pylist()], [], []
             for lo, hi in _runs(texts):
-                bundles = space.bundles([t.decode("utf-8", "replace") for t in texts[lo:hi]])
+                bundles = space.bundles(texts[lo:hi])
                 some = np.abs(bundles).sum(1) > 0
                 if not names:
                     pred += [UNKNOWN] * (hi - lo)
@@ -148,9 +147,9 @@ def _classifier(prototypes: dict[str, np.ndarray]) -> Callable[[Iterator[pa.Reco
                 best = cosine.argmax(1)
                 pred += [names[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), some.tolist(), strict=True)]
                 score += np.where(some, np.clip(cosine[np.arange(len(best)), best], 0, 1), 0).tolist()
-            kept = [b.column(i) for i, name in enumerate(b.schema.names) if name != "text"]
-            names_kept = [name for name in b.schema.names if name != "text"]
-            yield pa.record_batch([*kept, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*names_kept, "lang_pred", "score"])
+            own = [name for name in b.schema.names if whole or name != "text"]
+            new = ("_lang_pred", "_score") if whole else ("lang_pred", "score")
+            yield pa.record_batch([*(b[name] for name in own), pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*own, *new])
 
     return run
 
@@ -170,18 +169,12 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -
     if prototypes is None:
         prototypes = learn(docs.where(~held_out()))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_bytes().alias("text"))
-    return rows.mapInArrow(_classifier(prototypes), "doc_id long, held_out boolean, lang_pred string, score double")
+    return small_batches(rows).mapInArrow(_classifier(prototypes), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def with_language(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -> DataFrame:
-    """docs with a column _lang_pred; all columns stay."""
+    """docs with columns _lang_pred and _score after its own, which all stay."""
     if prototypes is None:
         prototypes = learn(docs.where(~held_out()))
-    run = _classifier(prototypes)
-
-    @F.pandas_udf("string")
-    def predict(texts: pd.Series) -> pd.Series:
-        out = next(run(iter([pa.record_batch({"text": pa.array(texts.tolist(), pa.binary())})])))
-        return pd.Series(out["lang_pred"].to_pylist())
-
-    return docs.withColumn("_lang_pred", predict(text_bytes()))
+    own = ", ".join(f"`{name.replace('`', '``')}` {kind}" for name, kind in docs.dtypes)
+    return small_batches(docs).mapInArrow(_classifier(prototypes, True), f"{own}, _lang_pred string, _score double")

@@ -79,16 +79,17 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     return t.select("template", cls.cast("int").alias("class"), "shingles", F.array_distinct(least).alias("marks"), bands(F.col("hashes")).alias("bands"))
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
-    """One row per (row of docs, template) that is found: uid, doc_id, template, containment (the best window's), first_word (of that window, from 0)."""
+def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, found): uid, doc_id of each row of docs; and uid, doc_id, template, containment (the best window's), first_word (of that window, from 0) of each template in it."""
     spark = docs.sparkSession
     known = template_table(spark, templates or TEMPLATES).collect()  # as many rows as templates are given
     least = F.posexplode("bands").alias("band", "least")
     table = spark.createDataFrame(known).select("template", F.col("class").cast("int").alias("class"), "shingles", least)
     marks = sorted({h for r in known for h in r["marks"]})
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", words().alias("w"))
-    rows = rows.where(F.size("w") >= WIDTH).withColumn("h", hashes(F.col("w")))
-    rows = stage(rows.where(F.arrays_overlap("h", F.array(*[F.lit(m) for m in marks]))), "marked")
+    rows = rows.withColumn("h", hashes(F.col("w"))).withColumn("marked", F.arrays_overlap("h", F.array(*[F.lit(m) for m in marks])))
+    every = stage(rows.select("uid", "doc_id", "marked", F.when(F.col("marked"), F.col("w")).alias("w"), F.when(F.col("marked"), F.col("h")).alias("h")), "marked")
+    rows = every.where("marked")
     classes = sorted({r["class"] for r in known})
     starts = rows.withColumn("class", F.explode(F.array(*[F.lit(c) for c in classes])))
     last = F.greatest(F.lit(0), F.call_function("div", F.size("h") - 1, F.col("class"))).cast("int")
@@ -101,7 +102,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     met = met.dropDuplicates(["uid", "at", "template"])
     share = F.size(F.array_intersect("shingles", strings(F.col("w")))) / F.size("shingles")
     found = met.select("uid", "doc_id", "template", "at", share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
-    return found.groupBy("uid", "doc_id", "template").agg(F.max("containment").alias("containment"), F.min_by("at", F.struct(-F.col("containment"), F.col("at"))).alias("first_word"))
+    found = found.groupBy("uid", "doc_id", "template").agg(F.max("containment").alias("containment"), F.min_by("at", F.struct(-F.col("containment"), F.col("at"))).alias("first_word"))
+    return every.select("uid", "doc_id"), found
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
@@ -110,7 +112,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None) -> Da
     Null and empty texts have no license. Templates need five words. Whole texts are read, however long. Repeated rows are
     scanned one by one. An empty table gives an empty result. Other columns are ignored.
     """
-    found = scan(docs, templates).groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("template")), ",").alias("names"), F.max("containment").alias("best"))
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id")
+    rows, found = scan(docs, templates)
+    found = found.groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("template")), ",").alias("names"), F.max("containment").alias("best"))
     out = rows.join(found, "uid", "left")
     return out.select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_licenses"), F.coalesce("names", F.lit("")).alias("licenses"), F.coalesce("best", F.lit(0.0)).alias("containment"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import WORD, checked, stage
+from tributary.llm.common import WORD, checked, kept_rows, stage, text_hash
 
 WEIGHTS = (5, 2, 1)
 
@@ -71,12 +71,12 @@ def split(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def draws(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = 3, shards: int = 16, seed: int = 11, max_blocks: int = 65_536, block_rows: int = 2_000, cut: bool = True) -> tuple[DataFrame, DataFrame]:
-    """The mix as one row per draw (uid, doc_id, source, pass, bucket, words, shard, local) and the documents' table (uid, doc_id, source, size, source_size, target).
+    """The mix as one row per draw (uid, doc_id, source, pass, bucket, words, shard, local) and the documents' table (uid, doc_id, th, source, size, source_size, target).
 
     words is how much of the document the draw takes: all of it, but for one draw per source that ends at the source's
     quota. With cut=False that document is taken whole or not at all, whichever is nearer to the quota.
     """
-    rows = stage(docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "source", word_count().alias("size"), permutation_key(seed).alias("h")), "sizes")
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", text_hash().alias("th"), "source", word_count().alias("size"), permutation_key(seed).alias("h")), "sizes")
     sizes = stage(rows.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")), "sources")
     count, words = sizes.agg(F.sum("rows"), F.sum("words")).first()
     blocks = min(max_blocks, max(256, (count or 0) // block_rows))
@@ -104,14 +104,14 @@ def draws(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = 3, sha
     part = F.greatest(F.lit(0), F.least(F.col("size"), left)) if cut else F.when(left * 2 >= F.col("size"), F.col("size")).otherwise(0)
     inside = rows.where(~edge).withColumn("more", F.when(F.col("before") < F.col("rest"), F.col("size")).otherwise(0))
     table = inside.unionByName(rows.where(edge).withColumn("more", part.cast("long")))
-    table = stage(table.select("uid", "doc_id", "source", "size", F.col("words").alias("source_size"), "target", "bucket", "h", "passes", "more"), "table")
+    table = stage(table.select("uid", "doc_id", "th", "source", "size", F.col("words").alias("source_size"), "target", "bucket", "h", "passes", "more"), "table")
 
     each = table.select("uid", "doc_id", "source", "bucket", "h", "size", "more", "passes", F.explode(F.sequence(F.lit(0), F.col("passes").cast("int"))).alias("pass"))
     each = each.withColumn("words", F.when(F.col("pass") < F.col("passes"), F.col("size")).otherwise(F.col("more"))).where("words > 0 or (size = 0 and pass < passes)")
     places = plan.select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), F.col("pass").alias("_pass"), "shard")
     each = each.join(checked(places), F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket")) & (F.col("pass") == F.col("_pass")))
     local = F.xxhash64(F.lit(seed), "shard", "pass", "h", "uid")
-    return each.select("uid", "doc_id", "source", "pass", "bucket", "words", "shard", local.alias("local")), table.select("uid", "doc_id", "source", "size", "source_size", "target")
+    return each.select("uid", "doc_id", "source", "pass", "bucket", "words", "shard", local.alias("local")), table.select("uid", "doc_id", "th", "source", "size", "source_size", "target")
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
@@ -127,8 +127,7 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: the rows of docs, each as often as it is drawn, whole, in shards that are shuffled locally."""
-    kept = docs.withColumn("_uid", F.monotonically_increasing_id())
-    each, _ = draws(docs, cut=False, **settings)
-    copies = each.groupBy("uid").agg(F.count(F.lit(1)).cast("int").alias("_copies"))
-    many = kept.join(copies, kept["_uid"] == copies["uid"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return many.select(*[kept[c] for c in docs.columns])
+    each, table = draws(docs, cut=False, **settings)
+    copies = each.groupBy("uid").agg(F.count(F.lit(1)).alias("copies"))
+    drawn = table.join(copies, "uid").select("doc_id", "th", F.lit(True).alias("kept"), "copies")
+    return kept_rows(docs, drawn, "copies")

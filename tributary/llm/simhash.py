@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import checked, components, stage, text_bytes
+from tributary.llm.common import checked, components, small_batches, stage, text_bytes, text_hash
 
 SEED = 42
 MAX_BITS = 4
@@ -147,7 +147,7 @@ class Forest:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fps = np.array([fingerprint(t or b"") for t in b["text"].to_pylist()], np.uint64).view(np.int64)
-        yield pa.record_batch({"uid": b["uid"], "doc_id": b["doc_id"], "fp": fps})
+        yield pa.record_batch({"uid": b["uid"], "doc_id": b["doc_id"], "th": b["th"], "fp": fps})
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +158,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"key": k, "side": side, "fp": fps[at : at + 2_000][row]})
 
 
-def _met(key: np.ndarray, side: np.ndarray, fp: np.ndarray, forest: Forest, chunk: int = 2_000_000) -> None:
+def _met(key: np.ndarray, side: np.ndarray, fp: np.ndarray, forest: Forest, chunk: int = 500_000) -> None:
     """Compares what meets under a key (sorted): probes with the index side, or all with all where a key has one side only."""
     fp = fp.view(np.uint64)
     new = np.r_[True, key[1:] != key[:-1]]
@@ -237,14 +237,14 @@ def links(fps: DataFrame, block: int = 20_000) -> DataFrame:
 
 
 def simhash_dedup(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: uid, doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable), kept.
+    """One row per row of docs: uid, doc_id, th, fingerprint (16 hex digits), component_id (smallest doc_id reachable), kept.
 
     Null and empty texts have fingerprint 0 and link like any other. Of each component one row is kept: the one with the
     smallest doc_id (null last; of repeated rows one). A component whose doc_ids are all null has a null component_id. An
     empty table gives an empty result. Other columns are ignored.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    rows = stage(rows.mapInArrow(_fingerprints, "uid long, doc_id long, fp long"), "fingerprints")
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), text_bytes().alias("text"))
+    rows = stage(small_batches(rows).mapInArrow(_fingerprints, "uid long, doc_id long, th long, fp long"), "fingerprints")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
     nodes = stage(rows.groupBy("fp").agg(F.min(first).alias("head")), "nodes")
     found = components(links(nodes))
@@ -253,4 +253,4 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     heads = nodes.groupBy("component").agg(F.min("head").alias("top"))
     nodes = nodes.join(heads, "component").select("fp", F.col("top.doc_id").alias("component_id"), F.col("top.uid").alias("_top"))
     out = rows.join(nodes, "fp")
-    return out.select("uid", "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", (F.col("uid") == F.col("_top")).alias("kept"))
+    return out.select("uid", "doc_id", "th", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", (F.col("uid") == F.col("_top")).alias("kept"))

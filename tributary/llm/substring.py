@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import SPACE, checked, stage, text_bytes
+from tributary.llm.common import SPACE, checked, small_batches, stage, text_bytes
 
 WINDOW = 50
 RUN = 8
@@ -209,7 +209,7 @@ def substring_dedup(docs: DataFrame, batches: int = 3, with_text: bool = False)
     An empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
-    rows = stage(_rows(docs).mapInArrow(_indexed, INDEXED), "segments")
+    rows = stage(small_batches(_rows(docs)).mapInArrow(_indexed, INDEXED), "segments")
 
     # copies of a whole document
     firsts = rows.where(F.col("n_words") >= WINDOW).groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("sha", "first")
@@ -242,6 +242,7 @@ def substring_dedup(docs: DataFrame, batches: int = 3, with_text: bool = False)
     texts = _texts(docs, parts.select("id", "th")).join(parts, ["id", "th"])
     windows = stage(texts.select("id", "th", "text", "pos", "len").mapInArrow(_windows, "h1 long, h2 long, id long, th long, pos int"), "windows")
     first = windows.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("h1", "h2", "first")
+    first = stage(first, "first")  # apart from the join, so that a window which many documents have can be split there
     single = windows.join(first, ["h1", "h2"]).where(F.col("first") < F.col("id")).select("id", "th", "pos", F.lit(1).alias("len"))
 
     spans = spans.unionByName(single).groupBy("id", "th").agg(F.collect_list("pos").alias("pos"), F.collect_list("len").alias("len"))
