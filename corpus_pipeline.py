@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import bpe, exact_dedup, language, mixing, simhash
-from tributary.llm.common import read, stage
+from tributary.llm.common import kept_rows, read, stage
 from tributary.llm.queries import bpe_path
 
 
@@ -19,20 +19,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.with_language(docs).where(F.col("_lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 
-def _keep(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of docs whose place in the scan (uid) is among those kept."""
-    kept = decided.where("kept").select(F.col("uid").alias("_uid"))
-    return docs.withColumn("_uid", F.monotonically_increasing_id()).join(kept, "_uid", "left_semi").select(*docs.columns)
-
-
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays, the one with the smallest doc_id."""
-    return _keep(docs, exact_dedup.exact_dedup(docs))
+    return kept_rows(docs, exact_dedup.exact_dedup(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays, the one with the smallest doc_id."""
-    return _keep(docs, simhash.simhash_dedup(docs))
+    return kept_rows(docs, simhash.simhash_dedup(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
