@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tributary.functions.ship import ship
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -48,6 +50,7 @@ def first_seen(events: DataFrame, ttl_hours: float = 2, extend_on_duplicate: boo
     """
     if ttl_hours <= 0:
         raise ValueError("windowHours must be positive")
+    ship(events.sparkSession)
     return events.groupBy(key).transformWithStateInPandas(
         statefulProcessor=FirstSeen(int(ttl_hours * 3_600_000), extend_on_duplicate), outputStructType=events.schema, outputMode="Append", timeMode="ProcessingTime"
     )
