@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.functions.ship import ship
+
 #: The ASCII white space that separates words, as a Java and RE2 pattern.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,8 +60,9 @@ def release() -> None:
 atexit.register(release)
 
 
-def small_batches(df: DataFrame, most: str = "8m") -> DataFrame:
-    """df, with the session set so that a batch of rows that goes to Python holds so many bytes at most (or one row)."""
+def to_python(df: DataFrame, most: str = "8m") -> DataFrame:
+    """df, ready for Python functions: the package is shipped, and a batch of rows holds so many bytes at most (or one row)."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
     return df
 

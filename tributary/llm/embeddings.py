@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import checked, components, stage
+from tributary.llm.common import checked, components, stage, to_python
 from tributary.llm.simhash import Forest
 
 THRESHOLD = 0.98
@@ -113,7 +113,7 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, block: int
             return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
         return compare(left, right, threshold)
 
-    found = stage(dealt.groupBy("label", "length", "i", "j").applyInPandas(pair, "a long, b long, n long"), "found")
+    found = stage(to_python(dealt).groupBy("label", "length", "i", "j").applyInPandas(pair, "a long, b long, n long"), "found")
     counts = found.where("n > 0").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     classes = components(found.where("n = 0").select("a", "b"))
     nodes = nodes.drop("embedding").join(counts, "node", "left").join(classes, "node", "left")

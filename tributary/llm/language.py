@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import small_batches, text_bytes
+from tributary.llm.common import text_bytes, to_python
 
 DIMENSION = 512
 GRAM = 3
@@ -122,7 +122,7 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, parts: int = 16)
         labelled = labelled.where(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) < int(sample_rows / n * (1 << 30)))
     rows = labelled.select("lang", text_bytes().alias("text")).repartition(parts)
     found: dict[str, np.ndarray] = {}
-    for r in small_batches(rows).mapInArrow(_profiles, "lang string, profile array<double>").collect():
+    for r in to_python(rows).mapInArrow(_profiles, "lang string, profile array<double>").collect():
         found[r["lang"]] = found.get(r["lang"], 0) + np.array(r["profile"])
     found = {k: v for k, v in sorted(found.items()) if np.linalg.norm(v)}
     return {k: units(v[None])[0].astype(np.float32) for k, v in found.items()}
@@ -169,7 +169,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -
     if prototypes is None:
         prototypes = learn(docs.where(~held_out()))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_bytes().alias("text"))
-    return small_batches(rows).mapInArrow(_classifier(prototypes), "doc_id long, held_out boolean, lang_pred string, score double")
+    return to_python(rows).mapInArrow(_classifier(prototypes), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def with_language(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -> DataFrame:
@@ -177,4 +177,4 @@ def with_language(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = No
     if prototypes is None:
         prototypes = learn(docs.where(~held_out()))
     own = ", ".join(f"`{name.replace('`', '``')}` {kind}" for name, kind in docs.dtypes)
-    return small_batches(docs).mapInArrow(_classifier(prototypes, True), f"{own}, _lang_pred string, _score double")
+    return to_python(docs).mapInArrow(_classifier(prototypes, True), f"{own}, _lang_pred string, _score double")

@@ -1,4 +1,4 @@
-"""The queries of this subpackage and their DuckDB oracles."""
+"""The queries of this subpackage. The SQL that some must agree with is in oracles.py."""
 
 from __future__ import annotations
 
@@ -62,12 +62,3 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_near_dedup, op2_language_id, op3_mix_sources, op4_license_scan, op5_bpe, op6_exact_dedup, op7_substring_dedup, op8_simhash_near_dedup, op9_shard, op10_pii)}
-
-OP6_SQL = r"""
-with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
-select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
-       doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
-from n
-"""
-
-ORACLES: dict[str, str] = {"op6_exact_dedup": OP6_SQL}

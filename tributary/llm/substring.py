@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import SPACE, checked, small_batches, stage, text_bytes
+from tributary.llm.common import SPACE, checked, stage, text_bytes, to_python
 
 WINDOW = 50
 RUN = 8
@@ -209,7 +209,7 @@ def substring_dedup(docs: DataFrame, batches: int = 3, with_text: bool = False)
     An empty table gives an empty result. Other columns are ignored.
     """
     spark = docs.sparkSession
-    rows = stage(small_batches(_rows(docs)).mapInArrow(_indexed, INDEXED), "segments")
+    rows = stage(to_python(_rows(docs)).mapInArrow(_indexed, INDEXED), "segments")
 
     # copies of a whole document
     firsts = rows.where(F.col("n_words") >= WINDOW).groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("sha", "first")
