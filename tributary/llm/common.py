@@ -17,7 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows up to which a table may be broadcast; beyond that the join is shuffled.
 BROADCAST_ROWS = 200_000
 
-_written: list[tuple[SparkSession, str]] = []
+#: Tables that stage() has written, by path.
+_written: dict[str, SparkSession] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,26 +34,39 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Writes df to the shared folder and reads it back: the lineage is cut, and lost executors cost no recomputation.
 
-    The files stay until release() or the end of the driver, since a lazy result may still read them.
+    The files stay until discard(), release() or the end of the driver, since a lazy result may still read them. by: a
+    column that each has a folder of its own for.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tributary-{uuid.uuid4().hex}-{name}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    _written[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tributary_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of stage() that nothing reads any more; what was made from them must have been staged itself."""
+    for t in tables:
+        _delete(t._tributary_path)
+
+
+def _delete(path: str) -> None:
+    spark = _written.pop(path, None)
+    if spark is not None:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def release() -> None:
     """Deletes every table that stage() has written. Only call it when no result that reads them is needed any more."""
-    while _written:
-        spark, path = _written.pop()
+    for path in list(_written):
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(path)
         except Exception:  # the session has ended, and the driver with it
             return
 
@@ -113,22 +127,26 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = stage(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
     labels = None
     while pairs.limit(1).count():
+        old = [pairs]
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         hook = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("to"))
         hook = stage(hook, "hook")
+        old.append(hook)
         for _ in range(2):
             up = hook.select(F.col("node").alias("to"), F.col("to").alias("top"))
             hook = hook.join(up, "to").select("node", F.col("top").alias("to"))
         hook = stage(hook, "jump")
         if labels is None:
-            labels = hook.select("node", F.col("to").alias("component"))
+            found = hook.select("node", F.col("to").alias("component"))
         else:
+            old.append(labels)
             up = hook.select(F.col("node").alias("component"), F.col("to").alias("top"))
-            labels = labels.join(up, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
-        labels = stage(labels, "labels")
+            found = labels.join(up, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+        labels = stage(found, "labels")
         end = hook.select(F.col("node").alias("u"), F.col("to").alias("tu"))
         pairs = pairs.join(end, "u").join(end.select(F.col("u").alias("v"), F.col("tu").alias("tv")), "v")
         pairs = stage(pairs.where("tu <> tv").select(F.least("tu", "tv").alias("u"), F.greatest("tu", "tv").alias("v")).distinct(), "edges")
+        discard(*old, hook)
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("component")).where("false")
     return labels

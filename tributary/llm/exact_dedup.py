@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import SPACE, checked, stage, text_hash
+from tributary.llm.common import SPACE, checked, discard, stage, text_hash
 
 
 def normalised(column: str = "text") -> Column:
@@ -70,7 +70,8 @@ def exact_dedup(docs: DataFrame, capacity: int = 100_000, max_depth: int = 12, k
     slots = directory_table(spark, depth, buckets)  # 2**max_depth rows at most
     index = entries.withColumn("slot", prefix(depth)).join(F.broadcast(slots), "slot").drop("slot")
     owners = max(1, min(len(buckets), 4096))
-    index = stage_index(index.repartitionByRange(owners, "bucket", "key").sortWithinPartitions("bucket", "key"))
+    index = stage(index.repartitionByRange(owners, "bucket", "key").sortWithinPartitions("bucket", "key"), "index", by="bucket")
+    discard(entries)
 
     repeated = checked(index.where("group_size > 1").select("key"))
     texts = norm.select(key.alias("key"), "norm").join(repeated, "key")
@@ -89,13 +90,3 @@ def exact_dedup(docs: DataFrame, capacity: int = 100_000, max_depth: int = 12, k
     alone = rows.join(checked(clash), "key", "left_anti").join(heads, "key").select(*columns)
     return alone.unionByName(chained.join(chain, ["key", "norm"]).select(*columns))
 
-
-def stage_index(index: DataFrame) -> DataFrame:
-    """The index as shared files, a folder for each bucket."""
-    from tributary.llm import common
-
-    spark = index.sparkSession
-    path = f"{common.shared_dir(spark)}/tributary-{common.uuid.uuid4().hex}-index"
-    index.write.partitionBy("bucket").parquet(path)
-    common._written.append((spark, path))
-    return spark.read.schema(index.schema).parquet(path)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import checked, components, stage, text_bytes, text_hash, to_python
+from tributary.llm.common import checked, components, discard, stage, text_bytes, text_hash, to_python
 
 SEED = 42
 MAX_BITS = 4
@@ -216,9 +216,9 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(fps: DataFrame, block: int = 20_000) -> DataFrame:
-    """A spanning forest (a, b) of the links between the distinct fingerprints of fps (column fp: long)."""
+    """A spanning forest (a, b) per task of the links between the distinct fingerprints of fps (column fp: long), staged."""
     spark = fps.sparkSession
-    keyed = stage(to_python(fps).repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))).select("fp").mapInArrow(_keyed, "key long, side byte, fp long"), "keys")
+    all_keys = keyed = stage(to_python(fps).repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))).select("fp").mapInArrow(_keyed, "key long, side byte, fp long"), "keys")
     crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
     crowded = stage(crowded.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "crowded")
     if crowded.limit(1).count():
@@ -233,7 +233,9 @@ def links(fps: DataFrame, block: int = 20_000) -> DataFrame:
     else:
         keyed = keyed.select(F.col("key").alias("group"), "side", "fp")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return keyed.repartition(parts, "group").sortWithinPartitions("group", "side").mapInArrow(_linked, "a long, b long")
+    found = stage(keyed.repartition(parts, "group").sortWithinPartitions("group", "side").mapInArrow(_linked, "a long, b long"), "links")
+    discard(all_keys, crowded)
+    return found
 
 
 def simhash_dedup(docs: DataFrame) -> DataFrame:
@@ -247,7 +249,8 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     rows = stage(to_python(rows).mapInArrow(_fingerprints, "uid long, doc_id long, th long, fp long"), "fingerprints")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
     nodes = stage(rows.groupBy("fp").agg(F.min(first).alias("head")), "nodes")
-    found = components(links(nodes))
+    forest = links(nodes)
+    found = components(forest)
     nodes = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "head", F.coalesce("component", "fp").alias("component"))
     nodes = stage(nodes, "classes")
     heads = nodes.groupBy("component").agg(F.min("head").alias("top"))

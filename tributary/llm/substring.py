@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import SPACE, checked, stage, text_bytes, to_python
+from tributary.llm.common import SPACE, checked, discard, stage, text_bytes, to_python
 
 WINDOW = 50
 RUN = 8
@@ -247,6 +247,7 @@ def substring_dedup(docs: DataFrame, batches: int = 3, with_text: bool = False)
 
     spans = spans.unionByName(single).groupBy("id", "th").agg(F.collect_list("pos").alias("pos"), F.collect_list("len").alias("len"))
     spans = stage(spans, "spans")
+    discard(active, contested, met, parts, windows, first)
     cut = _texts(docs, spans.select("id", "th")).join(spans, ["id", "th"]).select("id", "th", "text", "pos", "len").mapInArrow(_kept, "id long, th long, n_removed long, kept_sha256 string, kept string")
     if not with_text:
         cut = cut.drop("kept")
