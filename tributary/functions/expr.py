@@ -12,13 +12,19 @@ GRANULARITY = {"1m": "1 minute", "5m": "5 minutes", "15m": "15 minutes", "1h": "
 WINDOW_HOURS = {"1h": 1, "6h": 6, "12h": 12, "24h": 24, "7d": 168, "30d": 720}
 
 
+def _plain(c: Column) -> Column:
+    """Whether a character is printable ASCII, so no white space of any script: a comparison of bytes, in place of a pattern."""
+    return c.between("!", "~")
+
+
 def strip(c: Column) -> Column:
     """Without white space of any script at either end."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    clean = _plain(F.substring(c, 1, 1)) & _plain(F.substring(c, -1, 1))
+    return F.when(clean, c).otherwise(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
 
 
 def blank(c: Column) -> Column:
-    return c.isNull() | c.rlike(r"(?U)^\s*$")
+    return F.when(_plain(F.substring(c, 1, 1)), False).otherwise(c.isNull() | c.rlike(r"(?U)^\s*$"))
 
 
 def bucket(ts: Column, width: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.expr import GRANULARITY, cents, ratio, rounded
+from tributary.functions.session import tune
 from tributary.operators import clean as C
 from tributary.operators import dedup as D
 from tributary.operators import erasure, logs, maintenance, perf, quality
@@ -26,7 +27,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = lambda spark, sf_dir: R.plain_times(f(spark, sf_dir))
+    QUERIES[f.__name__] = lambda spark, sf_dir: R.plain_times(f(tune(spark), sf_dir))
     return f
 
 
