@@ -26,7 +26,7 @@ from tributary.llm.common import text_bytes, to_python
 #: The pre-tokenizer pattern that byte-level BPE files with use_regex stand for.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words whose encodings a worker remembers at a time, and as many of those before; pairs of tokens that it remembers.
-MEMORY = 150_000
+MEMORY = 120_000
 PAIRS = 400_000
 
 
@@ -174,7 +174,7 @@ def vocabulary(path: str) -> Bpe:
     return Bpe(path)
 
 
-def chunks(texts: list[bytes], most: int = 2_000_000) -> Iterator[list[bytes]]:
+def chunks(texts: list[bytes], most: int = 1_000_000) -> Iterator[list[bytes]]:
     """The texts in runs of about so many bytes."""
     run, held = [], 0
     for t in texts:
