@@ -294,8 +294,7 @@ def test_estimates_are_unbiased():
     for seed in range(400):
         turn = embeddings.rotation(64, seed)
         codes, factor, _ = embeddings.encode(o[None], turn)
-        signs = np.unpackbits(codes, axis=1).astype(float) * 2 - 1
-        est.append(float((signs @ (q @ turn.T))[0] / 8 / factor[0]))
+        est.append(float(embeddings.estimates(codes, factor, (q @ turn.T)[None])[0][0, 0]))
         assert embeddings.candidates(codes, factor, (q @ turn.T)[None], float(o @ q))[0, 0]
     assert abs(np.mean(est) - o @ q) < 4 * np.std(est) / 20
 

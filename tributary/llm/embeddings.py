@@ -1,13 +1,12 @@
 """Embedding near-dedup with randomised-rotation binary codes and stored correction factors.
 
 A unit vector o is rotated by a fixed random orthogonal matrix R and stored as the signs of its coordinates and the
-factor a = <o', o>, where o' is the unit vector with those signs. For another rotated unit vector q, <o', q> / a is an
-unbiased estimate of the cosine <o, q>, over the choice of R. Given a and b = <o', q>, the part of o that the code misses
-has length sqrt(1 - a^2) and the part of q that it could meet has length sqrt(1 - b^2), and the product of their
-directions is that of a random direction in d - 1 dimensions: it is over z / sqrt(d - 1) with a probability of about
-exp(-z^2 / 2). So the cosine is at most a b + z sqrt((1 - a^2)(1 - b^2) / (d - 1)); pairs whose bound is under
-the threshold are done with, all others are recomputed in double precision. The default z is so large that the bound is
-the one that always holds wherever d - 1 <= z^2 (Cauchy-Schwarz), and fails less than once in 1e12 pairs otherwise.
+factor a = <o', o>, where o' is the unit vector with those signs. For another rotated unit vector q and b = <o', q>, b / a
+is an unbiased estimate of the cosine <o, q> over the choice of R: it is off by sqrt(1 - a^2) / a times the cosine of q with
+a random direction in d - 1 dimensions, which is over z / sqrt(d - 1) with a probability of about exp(-z^2 / 2). That gives
+a confidence bound; besides, o and q can be no nearer to each other than their angles with o' allow, so the cosine is at
+most a b + sqrt((1 - a^2)(1 - b^2)), for certain. A pair is recomputed in double precision if the lower of the two bounds
+reaches the threshold; all others are done with. With z = 8 the first fails less than once in 1e13 pairs.
 
 Vectors of a label are dealt into blocks of bounded size and each two blocks are compared once, as matrices. Equal vectors
 are one node with a weight. A task returns a count per vector and a spanning forest of its links, never the pairs.
@@ -40,14 +39,21 @@ def encode(units: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.packbits(signs, axis=1), factor, x
 
 
-def candidates(codes: np.ndarray, factor: np.ndarray, queries: np.ndarray, threshold: float, z: float = 8.0) -> np.ndarray:
-    """Which (row, query) pairs may reach the threshold: their upper confidence bound does."""
+def estimates(codes: np.ndarray, factor: np.ndarray, queries: np.ndarray, z: float = 8.0) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated cosines of all (row, query) pairs, and their upper bounds."""
     d = queries.shape[1]
     signs = np.unpackbits(codes, axis=1, count=d).astype(np.float32) * 2 - 1
     b = np.clip((signs @ queries.T.astype(np.float32)) / np.sqrt(np.float32(d)), -1, 1)
-    a = np.clip(factor, 0, 1)[:, None].astype(np.float32)
-    spread = min(1.0, z / np.sqrt(max(d - 1, 1)))
-    return a * b + np.float32(spread) * np.sqrt((1 - a * a) * (1 - b * b)) >= threshold - 1e-4
+    a = np.clip(factor, 1e-6, 1)[:, None].astype(np.float32)
+    guess = b / a
+    likely = guess + np.sqrt(1 - a * a) / a * np.float32(z / np.sqrt(max(d - 1, 1)))
+    certain = a * b + np.sqrt((1 - a * a) * (1 - b * b))
+    return guess, np.minimum(likely, certain)
+
+
+def candidates(codes: np.ndarray, factor: np.ndarray, queries: np.ndarray, threshold: float) -> np.ndarray:
+    """Which (row, query) pairs have to be recomputed: their upper bound reaches the threshold (less what single precision may lose)."""
+    return estimates(codes, factor, queries)[1] >= threshold - 1e-4
 
 
 def compare(left: pd.DataFrame, right: pd.DataFrame | None, threshold: float) -> pd.DataFrame:
