@@ -160,6 +160,9 @@ def test_mixing(spark, rows):
     assert mixing.mix(table(spark, rows).limit(0)).count() == 0
     assert mixing.mix(table(spark, [(1, None, None, "a"), (2, "", None, "b")])).where("taken = 0 and target = 0").count() == 2
     copies = mixing.mixed(table(spark, rows))
+    placed = mixing.arranged(table(spark, rows))
+    assert got(placed, "doc_id", "text") == got(copies, "doc_id", "text") and placed.select("_shard").distinct().count() == 16
+    assert got(placed, "doc_id", "text", "_shard") == got(mixing.arranged(table(spark, rows)), "doc_id", "text", "_shard")
     assert copies.columns == table(spark, rows).columns and copies.groupBy("doc_id", "text").count().agg(F.max("count")).first()[0] <= 9
 
 

@@ -71,7 +71,7 @@ def split(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def draws(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = 3, shards: int = 16, seed: int = 11, max_blocks: int = 65_536, block_rows: int = 2_000, cut: bool = True) -> tuple[DataFrame, DataFrame]:
-    """The mix as one row per draw (uid, doc_id, source, pass, bucket, words, shard, local) and the documents' table (uid, doc_id, th, source, size, source_size, target).
+    """The mix as one row per draw (uid, doc_id, th, source, pass, bucket, words, shard, local) and the documents' table (uid, doc_id, th, source, size, source_size, target).
 
     words is how much of the document the draw takes: all of it, but for one draw per source that ends at the source's
     quota. With cut=False that document is taken whole or not at all, whichever is nearer to the quota.
@@ -106,12 +106,12 @@ def draws(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = 3, sha
     table = inside.unionByName(rows.where(edge).withColumn("more", part.cast("long")))
     table = stage(table.select("uid", "doc_id", "th", "source", "size", F.col("words").alias("source_size"), "target", "bucket", "h", "passes", "more"), "table")
 
-    each = table.select("uid", "doc_id", "source", "bucket", "h", "size", "more", "passes", F.explode(F.sequence(F.lit(0), F.col("passes").cast("int"))).alias("pass"))
+    each = table.select("uid", "doc_id", "th", "source", "bucket", "h", "size", "more", "passes", F.explode(F.sequence(F.lit(0), F.col("passes").cast("int"))).alias("pass"))
     each = each.withColumn("words", F.when(F.col("pass") < F.col("passes"), F.col("size")).otherwise(F.col("more"))).where("words > 0 or (size = 0 and pass < passes)")
     places = plan.select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), F.col("pass").alias("_pass"), "shard")
     each = each.join(checked(places), F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket")) & (F.col("pass") == F.col("_pass")))
     local = F.xxhash64(F.lit(seed), "shard", "pass", "h", "uid")
-    return each.select("uid", "doc_id", "source", "pass", "bucket", "words", "shard", local.alias("local")), table.select("uid", "doc_id", "th", "source", "size", "source_size", "target")
+    return each.select("uid", "doc_id", "th", "source", "pass", "bucket", "words", "shard", local.alias("local")), table.select("uid", "doc_id", "th", "source", "size", "source_size", "target")
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
@@ -126,8 +126,23 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The mix itself: the rows of docs, each as often as it is drawn, whole, in shards that are shuffled locally."""
+    """The mix itself: the rows of docs, each as often as it is drawn, whole, in no order. arranged() has its shards in theirs."""
     each, table = draws(docs, cut=False, **settings)
     copies = each.groupBy("uid").agg(F.count(F.lit(1)).alias("copies"))
     drawn = table.join(copies, "uid").select("doc_id", "th", F.lit(True).alias("kept"), "copies")
     return kept_rows(docs, drawn, "copies")
+
+
+def arranged(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of docs as the mix draws them, with their output shard (_shard), each shard shuffled: a partition holds a piece of one or more shards, in order."""
+    spark = docs.sparkSession
+    each, table = draws(docs, cut=False, **settings)
+    draw = each.select(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_key"), F.col("shard").alias("_shard"), "local")
+    rows = docs.withColumn("_th", text_hash())
+    if table.groupBy("doc_id", "th").count().where("count > 1").limit(1).count():
+        rows = rows.dropDuplicates(["doc_id", "_th"])
+    out = rows.join(draw, rows["doc_id"].eqNullSafe(draw["_doc_id"]) & (rows["_th"] == draw["_key"]))
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    piece = F.pmod(draw["local"], F.lit(max(1, parts // settings.get("shards", 16))))
+    out = out.withColumn("_piece", piece).repartition(parts, "_shard", "_piece").sortWithinPartitions("_shard", "_piece", draw["local"])
+    return out.select(*[rows[c] for c in docs.columns], "_shard")
