@@ -98,7 +98,7 @@ def test_logs(spark):
         ("flink-jobmanager", f"2024-01-01 10:00:00,123 INFO  [Map (2/4)#0] org.x.Task [] - job {job} triggering checkpoint 17 watermark -5"),
         ("flink-taskmanager", '{"level":"SEVERE","loggerName":"x.Y","message":"Backpressure","thread":"Sink (1/2)","instant":{"epochSecond":1704103200,"nanoOfSecond":5000000}}'),
         ("kafka-1", "[2024-01-01 10:00:00,123] WARN [Broker id=1] New leader for clean-3 leaderId=2 (kafka.server.X)"),
-        ("clickhouse-1", "2024.01.01 10:00:00.123456 [ 77 ] {q1} <Warning> executeQuery: 10 rows in ecom.events in 6.5 sec"),
+        ("clickhouse-1", "2024.01.01 10:00:00.123456 [ 77 ] {q1} <Warning> executeQuery: 10 rows in shop.events in 6.5 sec"),
         ("kafka-1", "???"),
     ]
     got = logs.parse(spark.createDataFrame(lines, "container string, message string")).collect()
@@ -106,7 +106,7 @@ def test_logs(spark):
     assert got[0]["tags"] == ["checkpoint_triggered"] and got[0]["ts"] == datetime.datetime(2024, 1, 1, 10, 0, 0, 123000)
     assert got[1]["level"] == "error" and set(got[1]["tags"]) == {"backpressure", "application_error"} and got[1]["ts"].microsecond == 5000
     assert (got[2]["leader_id"], got[2]["topic_partition"], got[2]["level"]) == (2, "clean-3", "warn") and "leader_election" in got[2]["tags"]
-    assert (got[3]["elapsed_ms"], got[3]["rows"], got[3]["database_table"], got[3]["tags"]) == (6500, 10, "ecom.events", ["slow_query"])
+    assert (got[3]["elapsed_ms"], got[3]["rows"], got[3]["database_table"], got[3]["tags"]) == (6500, 10, "shop.events", ["slow_query"])
     assert got[4]["tags"] == ["parse_failure"] and got[4]["text"] == "???"
 
 

@@ -330,7 +330,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = F.date_format
     stream = F.concat(f(at, "yyyy-MM-dd HH:mm:ss,SSS"), F.lit(" WARN [Dedup ("), (i % 4 + 1).cast("string"), F.lit("/4)] com.acme.Job - Checkpoint "), i.cast("string"), F.lit(" failed: expired"))
     broker = F.concat(F.lit("["), f(at, "yyyy-MM-dd HH:mm:ss,SSS"), F.lit("] INFO [Partition clean-"), (i % 12).cast("string"), F.lit("] Shrinking ISR for leaderId="), (i % 3).cast("string"), F.lit(" (kafka.cluster.Partition)"))
-    store = F.concat(f(at, "yyyy.MM.dd HH:mm:ss.SSS"), F.lit(" [ "), (i % 90).cast("string"), F.lit(" ] {q"), i.cast("string"), F.lit("} <Information> executeQuery: Read "), (i * 3).cast("string"), F.lit(" rows from ecom.kpi in "), F.format_string("%d.5", i % 10), F.lit(" sec"))
+    store = F.concat(f(at, "yyyy.MM.dd HH:mm:ss.SSS"), F.lit(" [ "), (i % 90).cast("string"), F.lit(" ] {q"), i.cast("string"), F.lit("} <Information> executeQuery: Read "), (i * 3).cast("string"), F.lit(" rows from shop.kpi in "), F.format_string("%d.5", i % 10), F.lit(" sec"))
     line = F.when(i % 11 == 0, F.concat(F.lit("garbled "), i.cast("string"))).when(i % 3 == 0, stream).when(i % 3 == 1, broker).otherwise(store)
     container = F.when(i % 3 == 0, "flink-taskmanager-1").when(i % 3 == 1, "kafka-1").otherwise("clickhouse-1")
     return table(spark, sf_dir, "events").select(container.alias("container"), line.alias("message"), i.alias("event_id"))
