@@ -26,7 +26,7 @@ from tributary.llm.common import text_bytes, to_python
 #: The pre-tokenizer pattern that byte-level BPE files with use_regex stand for.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words whose encodings a worker remembers at a time, and as many of those before; pairs of tokens that it remembers.
-MEMORY = 120_000
+MEMORY = 180_000
 PAIRS = 400_000
 
 
@@ -53,9 +53,10 @@ class Bpe:
             self.bytes[i] = word
         for word, i in self.special.items():
             self.bytes[i] = word.encode()
-        self.reach = [0] * 256  # the longest token that ends in a byte
+        self.reach: dict[bytes, int] = {}  # by the last three bytes: the longest token that ends in them
         for word in self.token:
-            self.reach[word[-1]] = max(self.reach[word[-1]], len(word))
+            if len(word) > 2:
+                self.reach[word[-3:]] = max(self.reach.get(word[-3:], 2), len(word))
         self.rank: dict[int, int] = {}  # of a pair of tokens that merge
         self.made: list[int] = []  # by rank: the token that comes of it
         self.born: dict[int, int] = {}  # of a token: the rank of the first merge that makes it
@@ -67,6 +68,7 @@ class Bpe:
             self.made.append(c)
             self.halves.append((a, b))
             self.born.setdefault(c, r)
+        self.packed = [i.to_bytes(4, "little") for i in range(size)]
         self.apart: dict[int, bool] = {}  # of pairs that were asked for: may they stand side by side?
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = regex.compile(PATTERN)
@@ -103,33 +105,41 @@ class Bpe:
 
     def encode_words(self, words: list[bytes]) -> Iterator[list[int]]:
         """Encodings of the sorted distinct words: a depth-first walk of their trie."""
-        token, may_follow, reach = self.token.get, self.may_follow, self.reach
-        apart = self.apart
+        token, may_follow, reach, apart = self.token.get, self.may_follow, self.reach.get, self.apart
         if len(apart) > PAIRS:
             apart.clear()
         last: list[int] = [-1]  # last[i]: the last token of the path's first i bytes
         length: list[int] = [0]
         before = b""
         for word in words:
-            n = min(len(before), len(word))
-            shared = n if before[:n] == word[:n] else next(i for i in range(n) if before[i] != word[i])
+            size, shared = len(word), 0
+            for x, y in zip(before, word):  # noqa: B905
+                if x != y:
+                    break
+                shared += 1
             del last[shared + 1 :], length[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                for start in range(end - reach[word[end - 1]] if end > 24 else 0, end):
-                    if start >= 0 and (t := token(word[start:end])) is not None:
+            for end in range(shared + 1, size + 1):
+                start = end - reach(word[end - 3 : end], 2) if end > 3 else 0
+                if start < 0:
+                    start = 0
+                while True:
+                    t = token(word[start:end])
+                    if t is not None:
                         if start == 0:
                             break
-                        ok = apart.get(pair := last[start] << 20 | t)
+                        pair = last[start] << 20 | t
+                        ok = apart.get(pair)
                         if ok is None:
                             ok = apart[pair] = may_follow(last[start], t)
                         if ok:
                             break
-                else:
-                    raise ValueError("the vocabulary has no token for a byte")
+                    start += 1
+                    if start == end:
+                        raise ValueError("the vocabulary has no token for a byte")
                 last.append(t)
                 length.append(end - start)
             before = word
-            out, end = [], len(word)
+            out, end = [], size
             while end:
                 out.append(last[end])
                 end -= length[end]
@@ -137,9 +147,9 @@ class Bpe:
 
     def learn(self, words: set[str]) -> None:
         """Adds the encodings of words, as bytes of unsigned 32-bit numbers."""
-        new = sorted((w.encode(), w) for w in words)
+        new, packed = sorted([(w.encode(), w) for w in words]), self.packed
         for (_, w), ids in zip(new, self.encode_words([b for b, _ in new]), strict=True):
-            self.known[w] = np.array(ids, "<u4").tobytes()
+            self.known[w] = b"".join([packed[i] for i in ids])
 
     def pieces(self, text: str) -> list[list[str] | int]:
         """The text cut at special tokens (as ids) and into words."""
