@@ -116,11 +116,11 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, parts: int = 16)
 
     What comes to the driver is `parts` vectors per language, whatever the size of the data.
     """
-    labelled = labelled.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    n = labelled.select("lang").count()
+    labelled = labelled.where("lang is not null").select("doc_id", "lang", "text")
+    n = labelled.count()  # reads no text
     if n > sample_rows:
         labelled = labelled.where(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) < int(sample_rows / n * (1 << 30)))
-    rows = labelled.select("lang", text_bytes().alias("text")).repartition(parts)
+    rows = labelled.where("text is not null").select("lang", text_bytes().alias("text")).repartition(parts)
     found: dict[str, np.ndarray] = {}
     for r in to_python(rows).mapInArrow(_profiles, "lang string, profile array<double>").collect():
         found[r["lang"]] = found.get(r["lang"], 0) + np.array(r["profile"])
