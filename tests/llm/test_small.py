@@ -361,6 +361,30 @@ def test_pii_leaves_clean_text_alone(text):
     assert pii.find(text) == ([], [])
 
 
+@pytest.mark.parametrize("at", ["@", " (at) ", "[at]", " at "])
+@pytest.mark.parametrize("dots", [(".", " dot "), (" dot ", "."), (" dot ", " dot "), ("[dot]", " dot "), (" dot ", " (dot) "), (".", "[dot]")])
+@pytest.mark.parametrize("ending", ["com", "nl", "it", "ch", "ai"])
+def test_pii_mixed_addresses(at, dots, ending):
+    name = f"some.one{at}mail{dots[0]}example{dots[1]}{ending}"
+    base, spans = pii.find(f"so {name}, as ever")
+    assert ("email", 3, 3 + len(name)) in spans and len(spans) == len(base) + 1
+
+
+@pytest.mark.parametrize("text", ["someone (at) example dot com", "someone at example [dot] com", "someone@example dot com", "x at example dot nl", "jane dot doe (at) example dot foo", "x at example dot com dot au"])
+def test_pii_whole_addresses(text):
+    assert pii.find(f"to {text}.") == ([], [("email", 3, 3 + len(text))])
+
+
+@pytest.mark.parametrize("text", ["10 dot 0 dot 0 dot 1", "10 (dot) 0 dot 0.1", "one nine two dot one six eight dot zero dot one"])
+def test_pii_worded_ips(text):
+    assert pii.find(f"on {text} now") == ([], [("ip", 3, 3 + len(text))])
+
+
+@pytest.mark.parametrize("text", ["a talk at example.com", "look at the dot in the middle", "sat at home dot done", "at 3 dot 5 percent", "connect dot one at a time"])
+def test_pii_leaves_words_alone(text):
+    assert pii.find(text) == ([], [])
+
+
 def test_pii_query(spark, rows):
     more = [(800, "a b@c.de 1.2.3.4 x", "en", "x"), (801, "4111 1111 1111 1111 +1 (743) 555-3824", "en", "x")]
     out = {r["doc_id"]: r for r in pii.find_pii(table(spark, [*rows, *more])).where("doc_id >= 100").collect()}
