@@ -454,3 +454,20 @@ def test_licenses(spark):
     with pytest.raises(ValueError):
         licenses.scan(df, {"short": "All rights reserved."})
     assert licenses.license_scan(df.limit(0)).count() == 0
+
+
+def test_license_texts(spark):
+    """Whole texts, and their terms amid other words or with some changed, are known from each other."""
+    rng = random.Random(10)
+    filler = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(n))
+    names = [f"{x}-text" for x in ("apache-2.0", "artistic", "cc0-1.0", "gpl-2.0", "gpl-3.0", "isc", "lgpl-2.1", "lgpl-3.0", "mpl-1.1", "mpl-2.0", "unlicense")]
+    texts = {}
+    for k, name in enumerate(names):
+        w = licenses.TEMPLATES[name].split()
+        texts[k] = " ".join(w)
+        texts[100 + k] = f"{filler(700)} {' '.join(x for i, x in enumerate(w) if i % 60 != 50)} {filler(9000)}"
+        texts[200 + k] = " ".join(w[: len(w) // 2])
+    out = {r["doc_id"]: r for r in licenses.license_scan(table(spark, [(i, t, None, None) for i, t in texts.items()])).collect()}
+    for k, name in enumerate(names):
+        assert out[k]["licenses"] == out[100 + k]["licenses"] == name and out[k]["containment"] == 1, name
+        assert name not in out[200 + k]["licenses"]

@@ -13,17 +13,20 @@ keeps the documents that hold a shingle which is some template's least in some b
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm.common import stage
+from tributary.llm.license_texts import TEXTS
 
 WIDTH = 5
 BANDS = 32
 CONTAINMENT = 0.8
 
-#: Notices by the name that they are reported under.
+#: Notices and whole texts by the name that they are reported under.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
@@ -36,7 +39,7 @@ TEMPLATES = {
     "mit": "Released under the MIT License.",
     "mit-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-}
+} | TEXTS
 
 
 def words(column: str = "text") -> Column:
@@ -82,24 +85,27 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, found): uid, doc_id of each row of docs; and uid, doc_id, template, containment (the best window's), first_word (of that window, from 0) of each template in it."""
     spark = docs.sparkSession
-    known = template_table(spark, templates or TEMPLATES).collect()  # as many rows as templates are given
+    given = template_table(spark, templates or TEMPLATES).collect()  # as many rows as templates are given
+    known = spark.createDataFrame(given)
     least = F.posexplode("bands").alias("band", "least")
-    table = spark.createDataFrame(known).select("template", F.col("class").cast("int").alias("class"), "shingles", least)
-    marks = sorted({h for r in known for h in r["marks"]})
+    table = known.select("template", F.col("class").cast("int").alias("class"), least)
+    marks = sorted({h for r in given for h in r["marks"]})
+    classes = {c: sorted({h for r in given if r["class"] == c for h in r["marks"]}) for c in sorted({r["class"] for r in given})}
+    marked = lambda c: F.arrays_overlap("h", F.array(*[F.lit(m) for m in classes[c]]))
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", words().alias("w"))
     rows = rows.withColumn("h", hashes(F.col("w"))).withColumn("marked", F.arrays_overlap("h", F.array(*[F.lit(m) for m in marks])))
     every = stage(rows.select("uid", "doc_id", "marked", F.when(F.col("marked"), F.col("w")).alias("w"), F.when(F.col("marked"), F.col("h")).alias("h")), "marked")
     rows = every.where("marked")
-    classes = sorted({r["class"] for r in known})
-    starts = rows.withColumn("class", F.explode(F.array(*[F.lit(c) for c in classes])))
+    # only windows that hold a mark of their own class can collide
+    starts = rows.withColumn("class", F.explode(F.array_compact(F.array(*[F.when(marked(c), F.lit(c)) for c in classes]))))
     last = F.greatest(F.lit(0), F.call_function("div", F.size("h") - 1, F.col("class"))).cast("int")
     wins = starts.withColumn("k", F.explode(F.sequence(F.lit(0), last)))
     at = F.col("k") * F.col("class")
     wins = wins.select("uid", "doc_id", "class", at.alias("at"), F.slice("h", at + 1, 2 * F.col("class")).alias("h"), F.slice("w", at + 1, 2 * F.col("class") + WIDTH - 1).alias("w"))
-    wins = wins.where(F.arrays_overlap("h", F.array(*[F.lit(m) for m in marks])))
+    wins = wins.where(reduce(or_, [(F.col("class") == c) & marked(c) for c in classes]))
     keyed = wins.select("uid", "doc_id", "class", "at", "w", F.posexplode(bands(F.col("h"))).alias("band", "least"))
     met = keyed.join(F.broadcast(table), ["class", "band", "least"])
-    met = met.dropDuplicates(["uid", "at", "template"])
+    met = met.dropDuplicates(["uid", "at", "template"]).join(F.broadcast(known.select("template", "shingles")), "template")
     share = F.size(F.array_intersect("shingles", strings(F.col("w")))) / F.size("shingles")
     found = met.select("uid", "doc_id", "template", "at", share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
     found = found.groupBy("uid", "doc_id", "template").agg(F.max("containment").alias("containment"), F.min_by("at", F.struct(-F.col("containment"), F.col("at"))).alias("first_word"))
