@@ -435,6 +435,28 @@ def test_language(spark):
     assert both.columns[:-2] == table(spark, rows).columns and both.where("_lang_pred = 'und'").count() == 3
 
 
+def test_language_learns_rare_ones(spark):
+    """Beside a hot language and many labelled rows without words, the few rows of a rare one are learnt from."""
+    rng = random.Random(11)
+    text = lambda s: " ".join("".join(rng.choice(s) for _ in range(5)) for _ in range(12))
+    rows = [(k, text("aeioubcd"), "hot", "x") for k in range(3_000)] + [(5_000 + k, text("xyzwvkqj"), "rare", "x") for k in range(3)]
+    rows += [(10_000 + k, (None, "", "12 ?!")[k % 3], ("rare", "hot", "none")[k // 3 % 3], "x") for k in range(3_000)]
+    df = table(spark, rows)
+    found = language.learn(df, sample_rows=20)
+    assert set(found) == {"hot", "rare"}
+    out = language.identify(df, found).collect()
+    assert all(r["lang_pred"] == ("hot" if r["doc_id"] < 5_000 else "rare") for r in out if r["doc_id"] < 10_000)
+    same = language.learn(table(spark, [(None, *r[1:]) for r in rows]), sample_rows=20)  # no doc_id to tell rows apart
+    assert set(same) == {"hot", "rare"}
+
+
+def test_language_shares():
+    share = language.shares({"a": 10, "b": 1_000, "c": 10_000_000}, 2_010, least=64)
+    assert share == {"a": 1, "b": 1, "c": 1_000 / 10_000_000}
+    assert language.shares({"a": 10, "b": 10}, 20) == {"a": 1, "b": 1} and language.shares({}, 5) == {}
+    assert language.shares({"a": 10_000_000, "b": 300}, 10) == {"a": 64 / 10_000_000, "b": 64 / 300}
+
+
 def test_licenses(spark):
     rng = random.Random(9)
     filler = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(n))

@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import text_bytes, to_python
+from tributary.llm.common import checked, text_bytes, to_python
 
 DIMENSION = 512
 GRAM = 3
-#: Labelled rows that prototypes are learnt from, at most in expectation; a hash of doc_id picks them.
+#: Labelled rows that prototypes are learnt from, at most in expectation, in fair shares for the languages; a hash of doc_id and text picks them.
 SAMPLE_ROWS = 12_000
+#: A language's share at least, in expectation, if it has as many rows.
+LEAST_ROWS = 64
 UNKNOWN = "und"
 
 
@@ -111,16 +113,32 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch({"lang": pa.array(list(sums), pa.string()), "profile": pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))})
 
 
+def shares(counts: dict[str, int], total: int, least: int = LEAST_ROWS) -> dict[str, float]:
+    """The share of each language's rows that is learnt from: all rows of small languages, as many of each of the others, `total` in all (or `least` each)."""
+    rest, most = total, float("inf")
+    for k, n in enumerate(sorted(counts.values())):
+        if n * (len(counts) - k) > rest:
+            most = max(rest / (len(counts) - k), least)
+            break
+        rest -= n
+    return {lang: min(1.0, most / n) for lang, n in counts.items()}
+
+
 def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, parts: int = 16) -> dict[str, np.ndarray]:
-    """Prototypes (unit vectors) by language from rows (doc_id, text, lang), of which a hash picks `sample_rows`.
+    """Prototypes (unit vectors) by language from rows (doc_id, text, lang), of which a hash picks `sample_rows`, or a few of each language.
 
-    What comes to the driver is `parts` vectors per language, whatever the size of the data.
+    Only rows whose text has a letter count. Every language that has one is learnt: the row with its least hash is always
+    picked. What comes to the driver is a count and `parts` vectors per language, whatever the size of the data.
     """
-    labelled = labelled.where("lang is not null").select("doc_id", "lang", "text")
-    n = labelled.count()  # reads no text
-    if n > sample_rows:
-        labelled = labelled.where(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) < int(sample_rows / n * (1 << 30)))
-    rows = labelled.where("text is not null").select("lang", text_bytes().alias("text")).repartition(parts)
+    size = 1 << 30
+    h = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text")), F.lit(size))
+    labelled = labelled.where("lang is not null").where(F.col("text").cast("string").rlike(r"\p{L}")).select("lang", "text", h.alias("h"))
+    each = {r["lang"]: r for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("first")).collect()}
+    share = shares({k: r["n"] for k, r in each.items()}, sample_rows)
+    if any(x < 1 for x in share.values()):
+        limits = labelled.sparkSession.createDataFrame([(k, max(int(x * size), each[k]["first"] + 1)) for k, x in share.items()], "lang string, most long")
+        labelled = labelled.join(checked(limits), "lang").where(F.col("h") < F.col("most"))
+    rows = labelled.select("lang", text_bytes().alias("text")).repartition(parts)
     found: dict[str, np.ndarray] = {}
     for r in to_python(rows).mapInArrow(_profiles, "lang string, profile array<double>").collect():
         found[r["lang"]] = found.get(r["lang"], 0) + np.array(r["profile"])
