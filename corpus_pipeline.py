@@ -15,8 +15,8 @@ from tributary.llm.queries import bpe_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language cannot be told: texts that are null or have no letter."""
-    return language.with_language(docs).where(F.col("_lang_pred") != language.UNKNOWN).select(*docs.columns)
+    """Drops documents whose language cannot be told: texts that are null or have no letter. Others stay, also where nothing can be learnt."""
+    return language.with_language(docs, letters=True).where(F.col("_letters")).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,3 +124,12 @@ def test_pipeline(spark, tmp_path):
     twice = frame.where("doc_id < 5").unionByName(frame.where("doc_id < 5")).unionByName(odd.withColumn("doc_id", odd["doc_id"] * 0))
     kept = corpus_pipeline.drop_exact_copies(spark, twice, str(tmp_path))
     assert kept.count() == kept.select("text").distinct().count()
+
+
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_pipeline_keeps_texts_whose_language_is_not_learnt(spark, lang):
+    """Without any label, or with the label that stands for no language, only texts without letters go."""
+    rows = [(k, f"clean words of number {k}", lang) for k in range(8)] + [(100, None, lang), (101, "", lang), (102, "12 34 !!", lang)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = corpus_pipeline.identify_language(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == list(range(8))

@@ -146,7 +146,7 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, parts: int = 16)
     return {k: units(v[None])[0].astype(np.float32) for k, v in found.items()}
 
 
-def _classifier(prototypes: dict[str, np.ndarray], whole: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _classifier(prototypes: dict[str, np.ndarray], whole: bool = False, letters: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     names = list(prototypes)
     matrix = np.stack([prototypes[k] for k in names]) if names else np.zeros((0, DIMENSION), np.float32)
 
@@ -154,9 +154,11 @@ def _classifier(prototypes: dict[str, np.ndarray], whole: bool = False) -> Calla
         space = Space()
         for b in batches:
             texts, pred, score = [t if isinstance(t, str) else (t or b"").decode("utf-8", "replace") for t in b["text"].to_pylist()], [], []
+            lettered: list[bool] = []
             for lo, hi in _runs(texts):
                 bundles = space.bundles(texts[lo:hi])
                 some = np.abs(bundles).sum(1) > 0
+                lettered += some.tolist()
                 if not names:
                     pred += [UNKNOWN] * (hi - lo)
                     score += [0.0] * (hi - lo)
@@ -167,7 +169,8 @@ def _classifier(prototypes: dict[str, np.ndarray], whole: bool = False) -> Calla
                 score += np.where(some, np.clip(cosine[np.arange(len(best)), best], 0, 1), 0).tolist()
             own = [name for name in b.schema.names if whole or name != "text"]
             new = ("_lang_pred", "_score") if whole else ("lang_pred", "score")
-            yield pa.record_batch([*(b[name] for name in own), pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*own, *new])
+            more = [("_letters", pa.array(lettered, pa.bool_()))] if letters else []
+            yield pa.record_batch([*(b[name] for name in own), pa.array(pred, pa.string()), pa.array(score, pa.float64()), *(v for _, v in more)], [*own, *new, *(name for name, _ in more)])
 
     return run
 
@@ -190,9 +193,9 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -
     return to_python(rows).mapInArrow(_classifier(prototypes), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def with_language(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -> DataFrame:
-    """docs with columns _lang_pred and _score after its own, which all stay."""
+def with_language(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None, letters: bool = False) -> DataFrame:
+    """docs with columns _lang_pred and _score after its own, which all stay; with letters, _letters also tells whether the text has any, whatever could be learnt."""
     if prototypes is None:
         prototypes = learn(docs.where(~held_out()))
     own = ", ".join(f"`{name.replace('`', '``')}` {kind}" for name, kind in docs.dtypes)
-    return to_python(docs).mapInArrow(_classifier(prototypes, True), f"{own}, _lang_pred string, _score double")
+    return to_python(docs).mapInArrow(_classifier(prototypes, True, letters), f"{own}, _lang_pred string, _score double{', _letters boolean' if letters else ''}")
