@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -16,6 +17,10 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows up to which a table may be broadcast; beyond that the join is shuffled.
 BROADCAST_ROWS = 200_000
+#: Bytes up to which it may be, whatever its rows.
+BROADCAST_BYTES = 32 << 20
+#: Keys that hold more than one in so many rows are looked up by broadcast, so there are fewer such keys than this.
+HOT = 50_000
 
 #: Tables that stage() has written, by path.
 _written: dict[str, SparkSession] = {}
@@ -29,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (local tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = f"file://{tempfile.mkdtemp(prefix='tributary-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -50,9 +57,10 @@ def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes tables of stage() that nothing reads any more; what was made from them must have been staged itself."""
+    """Deletes tables of stage() that nothing reads any more; what was made from them must have been staged itself. Other tables are left alone."""
     for t in tables:
-        _delete(t._tributary_path)
+        if path := getattr(t, "_tributary_path", None):
+            _delete(path)
 
 
 def _delete(path: str) -> None:
@@ -62,6 +70,13 @@ def _delete(path: str) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that discard()'s and release()'s rules hold for, too."""
+    path = f"{shared_dir(spark)}/tributary-{uuid.uuid4().hex}-{name}"
+    _written[path] = spark
+    return path
+
+
 def release() -> None:
     """Deletes every table that stage() has written. Only call it when no result that reads them is needed any more."""
     for path in list(_written):
@@ -81,9 +96,55 @@ def to_python(df: DataFrame, most: str = "8m") -> DataFrame:
     return df
 
 
-def checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it holds at most `limit` rows; a shuffled join otherwise. df should be cheap to count."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory: strings, binaries and arrays by their contents, all else by a fixed width."""
+    size = F.lit(16 + 8 * len(df.columns)).cast("long")
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(quoted(name)), F.lit(0))
+        elif kind.startswith("array"):
+            size = size + F.coalesce(F.octet_length(F.to_json(quoted(name))), F.lit(0))
+    return size
+
+
+def checked(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it holds at most so many rows and bytes; a shuffled join otherwise. df should be cheap to count."""
+    n, size = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= most else df
+
+
+def looked_up(rows: DataFrame, table: DataFrame, on: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """rows joined (inner or left) with table, which has one row per key and says in `weight` how many of rows have that key.
+
+    A small table is broadcast. Of a large one the keys of over 1 in HOT rows are: there are at most HOT such keys, however
+    many rows there are, and no other key is crowded enough to hold up the task that the shuffle sends it to. rows should be
+    staged, as they are read more than once.
+    """
+    small = checked(table)
+    if small is not table:
+        return rows.join(small, on, how)
+    limit = rows.count() // HOT
+    hot = F.broadcast(table.where(F.col(weight) > limit))
+    rest = rows.join(hot.select(*on), on, "left_anti").join(table.where(F.col(weight) <= limit), on, how)
+    return rows.join(hot, on).unionByName(rest)
+
+
+def quoted(name: str) -> Column:
+    """The column of that very name, whatever dots are in it."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def whole(docs: DataFrame) -> Column:
+    """All columns of a row as one struct, so that operators can carry rows beside columns of their own without a clash of names; `select("row.*")` takes it apart."""
+    return F.struct(*[quoted(name) for name in docs.columns]).alias("row")
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """name, with underscores after it until docs has no such column in any case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_bytes(column: str = "text") -> Column:
@@ -96,24 +157,21 @@ def text_hash(column: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
 
 
-def kept_rows(docs: DataFrame, decided: DataFrame, each: str | None = None) -> DataFrame:
+def kept_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """The rows of docs that `decided` (doc_id, th = text_hash(), kept) keeps, each of repeated rows once; with all their columns.
 
-    each: a column of decided with how often a kept row is to be repeated (summed over repeated rows).
+    Only the keys that go are joined, so where these are few no text is shuffled. Null doc_ids and null texts are keys like
+    any other, repeated rows (equal doc_id and text) are one, an empty table stays empty, and columns of docs may have any names.
     """
-    times = F.sum(each) if each else F.lit(1)
-    keys = decided.groupBy("doc_id", "th").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"), times.cast("int").alias("_times")).where("kept")
-    keys = stage(keys.select(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_key"), "n", "_times"), "kept")
-    repeated = keys.where("n > 1").limit(1).count() > 0
-    keys = keys.drop("n")
-    rows = docs.withColumn("_th", text_hash())
-    if repeated:
-        rows = rows.dropDuplicates(["doc_id", "_th"])
-    on = rows["doc_id"].eqNullSafe(keys["_doc_id"]) & (rows["_th"] == keys["_key"])
-    if not each:
-        return rows.join(keys, on, "left_semi").select(*docs.columns)
-    many = rows.join(keys, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return many.select(*[rows[c] for c in docs.columns])
+    keys = decided.groupBy(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_key")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    keys = stage(keys.where("n > 1 or not kept"), "dropped")
+    rows = docs.select(whole(docs), F.col("doc_id").alias("_id"), text_hash().alias("_th"))
+    on = F.col("_id").eqNullSafe(F.col("_doc_id")) & (F.col("_th") == F.col("_key"))
+    out = rows.join(checked(keys), on, "left_anti")
+    repeated = keys.where("kept")  # rows that are there several times, of which one stays
+    if repeated.limit(1).count():
+        out = out.unionByName(rows.join(checked(repeated), on, "left_semi").dropDuplicates(["_id", "_th"]))
+    return out.select("row.*")
 
 
 def components(edges: DataFrame) -> DataFrame:

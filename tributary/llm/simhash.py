@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import checked, components, discard, stage, text_bytes, text_hash, to_python
+from tributary.llm.common import checked, components, discard, looked_up, stage, text_bytes, text_hash, to_python
 
 SEED = 42
 MAX_BITS = 4
@@ -248,12 +248,12 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), text_bytes().alias("text"))
     rows = stage(to_python(rows).mapInArrow(_fingerprints, "uid long, doc_id long, th long, fp long"), "fingerprints")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
-    nodes = stage(rows.groupBy("fp").agg(F.min(first).alias("head")), "nodes")
+    nodes = stage(rows.groupBy("fp").agg(F.min(first).alias("head"), F.count(F.lit(1)).alias("n")), "nodes")
     forest = links(nodes)
     found = components(forest)
-    nodes = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "head", F.coalesce("component", "fp").alias("component"))
+    nodes = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "head", "n", F.coalesce("component", "fp").alias("component"))
     nodes = stage(nodes, "classes")
-    heads = nodes.groupBy("component").agg(F.min("head").alias("top"))
-    nodes = nodes.join(heads, "component").select("fp", F.col("top.doc_id").alias("component_id"), F.col("top.uid").alias("_top"))
-    out = rows.join(nodes, "fp")
+    heads = stage(nodes.groupBy("component").agg(F.min("head").alias("top"), F.count(F.lit(1)).alias("nodes")), "tops")
+    nodes = looked_up(nodes, heads, ["component"], "nodes").select("fp", "n", F.col("top.doc_id").alias("component_id"), F.col("top.uid").alias("_top"))
+    out = looked_up(rows, stage(nodes, "heads"), ["fp"], "n")
     return out.select("uid", "doc_id", "th", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", (F.col("uid") == F.col("_top")).alias("kept"))
