@@ -10,8 +10,15 @@ reach as (select vec_id as x, vec_id as y from embeddings union select r.x, l.y
 select vec_id, (select count(*) from links where x = vec_id) as n_links, (select min(y) from reach where x = vec_id) as component_id, vec_id = (select min(y) from reach where x = vec_id) as kept from embeddings
 """
 
-OP3 = r"""
-with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size, ('0x' || substr(md5('11:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint as h from documents),
+#: The tree of 16 shards, level by level: where a ticket goes is reckoned from its rank and its node's bounds.
+_LEVEL = """
+t{next} as (select source, buckets, ticket, rank, case when high - low <= 1 or goes_left then low else mid end as low, case when goes_left then mid else high end as high,
+    case when high - low <= 1 or goes_left then first else first + sent end as first, case when goes_left then sent when high - low <= 1 then held else held - sent end as held
+    from (select *, rank < first + sent and high - low > 1 as goes_left from (select *, held * (mid - low) // (high - low) as sent from (select *, low + (high - low) // 2 as mid from t{level})))),"""
+
+OP3 = (
+    r"""
+with d as (select row_number() over () as uid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size, ('0x' || substr(md5('11:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint as h from documents),
 s as (select source, sum(size)::bigint as words from d group by 1),
 w as (select *, [5, 2, 1][(row_number() over (order by source is null, encode(source)) - 1) % 3 + 1] as weight from s),
 o as (select *, sum(words) over () - 3 * coalesce(sum(words) over below, 0) as rest_words, sum(weight) over () - coalesce(sum(weight) over below, 0) as rest_weight
@@ -19,10 +26,28 @@ o as (select *, sum(words) over () - 3 * coalesce(sum(words) over below, 0) as r
 l as (select *, rest_words::double / rest_weight::double as water, rest_words::double / rest_weight::double * weight > words * 3 as capped from o),
 t as (select source, words, case when capped then (words * 3)::double else max(water) filter (not capped) over () * weight end as target from l),
 q as (select *, least(floor(target + 0.5)::bigint, words * 3) as quota, greatest(1, ceil(words * (select least(65536, greatest(256, count(*) // 2000)) from d)::double / greatest((select sum(words) from s), 1)::double))::bigint as buckets from t),
-p as (select d.*, words, target, case when words > 0 then quota // words else 0 end as passes, case when words > 0 then quota % words else 0 end as rest, h % buckets as bucket from d join q on d.source is not distinct from q.source),
-b as (select *, coalesce(sum(size) over (partition by source order by bucket, h, doc_id, size rows between unbounded preceding and 1 preceding), 0) as before from p)
-select doc_id, size::bigint as size, words as source_size, target, (passes * size + greatest(0, least(size, rest - before)))::bigint as taken from b
+z as (select *, case when words > 0 then quota // words else 0 end as passes, case when words > 0 then quota % words else 0 end as rest from q),
+p as (select d.*, words, target, h % buckets as bucket from d join z on d.source is not distinct from z.source),
+c as (select source, bucket, sum(size)::bigint as held from p group by all),
+e as (select z.*, unnest(range(z.buckets)) as bucket from z),
+b as (select e.*, coalesce(c.held, 0) as held, coalesce(sum(coalesce(c.held, 0)) over (partition by e.source order by e.bucket rows between unbounded preceding and 1 preceding), 0)::bigint as before
+    from e left join c on e.source is not distinct from c.source and e.bucket = c.bucket),
+n as (select source, any_value(buckets) as buckets, (any_value(passes) * any_value(buckets) + count(*) filter (before < rest))::bigint as blocks from b group by 1),
+k as (select source, buckets, unnest(range(blocks)) as ticket from n),
+m as (select *, ('0x' || substr(md5('11:tree:' || coalesce(source, '') || ':' || (source is null)::varchar || ':' || ticket::varchar), 1, 15))::bigint as key from k),
+t0 as (select source, buckets, ticket, row_number() over (order by key, source is null, source, ticket) - 1 as rank, 0 as low, 16 as high, 0::bigint as first, count(*) over () as held from m),"""
+    + "".join(_LEVEL.format(level=i, next=i + 1) for i in range(4))
+    + """
+leaf as (select source, buckets, low as shard, count(*) as quota from t4 group by all),
+x as (select source, buckets, shard, unnest(range(first::bigint, (first + quota)::bigint)) as place from (select *, coalesce(sum(quota) over (partition by source order by shard rows between unbounded preceding and 1 preceding), 0) as first from leaf)),
+g as (select source, place // buckets as pass, place % buckets as bucket, shard from x),
+y as (select p.*, g.pass, g.shard, ('0x' || substr(md5('11:' || g.shard || ':' || g.pass || ':' || p.h), 1, 15))::bigint as place, case when b.before < b.rest and b.before + b.held > b.rest and g.pass = b.passes then b.rest - b.before end as room
+    from p join g on p.source is not distinct from g.source and p.bucket = g.bucket join b on p.source is not distinct from b.source and p.bucket = b.bucket),
+v as (select *, case when room is null then size else greatest(0, least(size, room - coalesce(sum(size) over (partition by source, bucket, pass order by place, h, doc_id, size rows between unbounded preceding and 1 preceding), 0))) end as part from y),
+a as (select uid, sum(part)::bigint as taken, string_agg(shard::varchar, ',' order by pass) as shards, string_agg(place::varchar, ',' order by pass) as places from v where part > 0 or (size = 0 and room is null) group by 1)
+select doc_id, size::bigint as size, words as source_size, target, coalesce(taken, 0) as taken, coalesce(shards, '') as shards, coalesce(places, '') as places from p left join a on p.uid = a.uid
 """
+)
 
 OP6 = r"""
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)

@@ -30,7 +30,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(read(spark, sf_dir, "documents")).drop("uid")
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
