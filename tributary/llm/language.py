@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tributary.llm.common import checked, text_bytes, to_python
+from tributary.llm.common import checked, text_bytes, to_python, whole
 
 DIMENSION = 512
 GRAM = 3
@@ -24,7 +25,11 @@ GRAM = 3
 SAMPLE_ROWS = 12_000
 #: A language's share at least, in expectation, if it has as many rows.
 LEAST_ROWS = 64
+#: Languages that are learnt at most, those with the most labelled rows: what comes to the driver and into tasks is bounded, however dirty the labels are.
+MOST_LANGUAGES = 2_048
 UNKNOWN = "und"
+#: Letters whose n-grams are counted at a time.
+PIECE = 400_000
 
 
 class Space:
@@ -54,37 +59,50 @@ class Space:
         return points if len(points) > 1 else points[:0]
 
     def bundles(self, texts: list[str]) -> np.ndarray:
-        """A row per text; zero where it has no letter."""
-        found = [self.letters(t) for t in texts]
-        lengths = np.array([max(0, len(x) - GRAM + 1) for x in found])
+        """A row per text; zero where it has no letter. Letters are taken PIECE at a time, so one long text needs no more memory than many short ones, but for its own letters."""
         out = np.zeros((len(texts), self.dimension), np.float32)
-        if not lengths.sum():
-            return out
-        alphabet, dense = np.unique(np.concatenate(found), return_inverse=True)
-        ends = np.cumsum([len(x) for x in found])
+        pieces: list[tuple[int, np.ndarray]] = []
+        held = 0
+        for k, text in enumerate(texts):
+            own = self.letters(text)
+            for at in range(0, max(0, len(own) - GRAM + 1), PIECE):  # neighbours share GRAM - 1 letters, so each n-gram is in one piece
+                pieces.append((k, own[at : at + PIECE + GRAM - 1]))
+                held += len(pieces[-1][1])
+                if held >= PIECE:
+                    self._add(pieces, out)
+                    pieces, held = [], 0
+        if pieces:
+            self._add(pieces, out)
+        return out
+
+    def _add(self, pieces: list[tuple[int, np.ndarray]], out: np.ndarray) -> None:
+        """Adds the bundles of pieces (row, letters) to the rows of out."""
+        alphabet, dense = np.unique(np.concatenate([x for _, x in pieces]), return_inverse=True)
+        sizes = np.array([len(x) for _, x in pieces])
         base = len(alphabet)
         code = np.zeros(len(dense) - GRAM + 1, np.int64)
         for k in range(GRAM):
             code = code * base + dense[k : len(dense) - GRAM + 1 + k]
         keep = np.ones(len(code), bool)
-        for e in ends[:-1].tolist():
+        for e in np.cumsum(sizes)[:-1].tolist():
             keep[max(0, e - GRAM + 1) : e] = False
-        owner = np.repeat(np.arange(len(texts)), lengths)
+        owner = np.repeat(np.arange(len(pieces)), sizes - GRAM + 1)
         grams, which = np.unique(code[keep], return_inverse=True)
         table = np.stack([self.vector(int(a)) for a in alphabet])
-        bound = np.ones((len(grams), self.dimension), np.int8)
-        rest = grams.copy()
-        for k in range(GRAM):
-            bound *= np.roll(table, k, axis=1)[rest % base]
-            rest //= base
+        rolled = [np.roll(table, k, axis=1) for k in range(GRAM)]
         pair, count = np.unique(owner * len(grams) + which, return_counts=True)
         row, gram = pair // len(grams), pair % len(grams)
-        for at in range(0, len(grams), 4096):  # bounded memory: counts of some n-grams at a time
+        rows = np.array([k for k, _ in pieces])
+        for at in range(0, len(grams), 4096):  # counts and vectors of some n-grams at a time
+            rest = grams[at : at + 4096].copy()
+            bound = np.ones((len(rest), self.dimension), np.int8)
+            for k in range(GRAM):
+                bound *= rolled[k][rest % base]
+                rest //= base
             own = (gram >= at) & (gram < at + 4096)
-            counts = np.zeros((len(texts), min(4096, len(grams) - at)), np.float32)
+            counts = np.zeros((len(pieces), len(rest)), np.float32)
             counts[row[own], gram[own] - at] = count[own]
-            out += counts @ bound[at : at + 4096].astype(np.float32)
-        return out
+            np.add.at(out, rows, counts @ bound.astype(np.float32))
 
 
 def _runs(texts: list[str] | list[bytes], most: int = 400_000) -> Iterator[tuple[int, int]]:
@@ -127,15 +145,16 @@ def shares(counts: dict[str, int], total: int, least: int = LEAST_ROWS) -> dict[
 def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, parts: int = 16) -> dict[str, np.ndarray]:
     """Prototypes (unit vectors) by language from rows (doc_id, text, lang), of which a hash picks `sample_rows`, or a few of each language.
 
-    Only rows whose text has a letter count. Every language that has one is learnt: the row with its least hash is always
-    picked. What comes to the driver is a count and `parts` vectors per language, whatever the size of the data.
+    Only rows whose text has a letter count. Every language that has one is learnt (of more than MOST_LANGUAGES those with
+    the most rows): the row with its least hash is always picked. What comes to the driver is a count and `parts` vectors per language, whatever the size of the data.
     """
     size = 1 << 30
     h = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text")), F.lit(size))
     labelled = labelled.where("lang is not null").where(F.col("text").cast("string").rlike(r"\p{L}")).select("lang", "text", h.alias("h"))
-    each = {r["lang"]: r for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("first")).collect()}
+    found = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("first"))
+    each = {r["lang"]: r for r in found.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
     share = shares({k: r["n"] for k, r in each.items()}, sample_rows)
-    if any(x < 1 for x in share.values()):
+    if len(each) == MOST_LANGUAGES or any(x < 1 for x in share.values()):
         limits = labelled.sparkSession.createDataFrame([(k, max(int(x * size), each[k]["first"] + 1)) for k, x in share.items()], "lang string, most long")
         labelled = labelled.join(checked(limits), "lang").where(F.col("h") < F.col("most"))
     rows = labelled.select("lang", text_bytes().alias("text")).repartition(parts)
@@ -146,14 +165,17 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, parts: int = 16)
     return {k: units(v[None])[0].astype(np.float32) for k, v in found.items()}
 
 
-def _classifier(prototypes: dict[str, np.ndarray], whole: bool = False, letters: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+OWN = ("lang_pred", "score")
+
+
+def _classifier(prototypes: dict[str, np.ndarray], whole: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     names = list(prototypes)
     matrix = np.stack([prototypes[k] for k in names]) if names else np.zeros((0, DIMENSION), np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = Space()
         for b in batches:
-            texts, pred, score = [t if isinstance(t, str) else (t or b"").decode("utf-8", "replace") for t in b["text"].to_pylist()], [], []
+            texts, pred, score = [t if isinstance(t, str) else (t or b"").decode("utf-8", "replace") for t in (b["row"].field("text") if whole else b["text"]).to_pylist()], [], []
             lettered: list[bool] = []
             for lo, hi in _runs(texts):
                 bundles = space.bundles(texts[lo:hi])
@@ -167,10 +189,8 @@ def _classifier(prototypes: dict[str, np.ndarray], whole: bool = False, letters:
                 best = cosine.argmax(1)
                 pred += [names[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), some.tolist(), strict=True)]
                 score += np.where(some, np.clip(cosine[np.arange(len(best)), best], 0, 1), 0).tolist()
-            own = [name for name in b.schema.names if whole or name != "text"]
-            new = ("_lang_pred", "_score") if whole else ("lang_pred", "score")
-            more = [("_letters", pa.array(lettered, pa.bool_()))] if letters else []
-            yield pa.record_batch([*(b[name] for name in own), pa.array(pred, pa.string()), pa.array(score, pa.float64()), *(v for _, v in more)], [*own, *new, *(name for name, _ in more)])
+            own = [b["row"]] if whole else [b["doc_id"], b["held_out"]]
+            yield pa.record_batch([*own, pa.array(pred, pa.string()), pa.array(score, pa.float64()), *([pa.array(lettered, pa.bool_())] * whole)], ["row", *OWN, "letters"] if whole else ["doc_id", "held_out", *OWN])
 
     return run
 
@@ -183,7 +203,7 @@ def held_out() -> Column:
 def identify(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -> DataFrame:
     """One row per row of docs: doc_id, held_out, lang_pred, score (the cosine, 0 to 1). Learns from rows that are not held out, unless prototypes are given.
 
-    A text that is null or has no letter is `und` with score 0, and so is every text if nothing can be learnt. Equal
+    A text that is null or has no letter is `und` with score 0, and so is every text if nothing can be learnt. Repeated rows are read one by one; long texts are read whole. Equal
     cosines go to the first language by name. lang, source and doc_id play no part in a prediction. An empty table gives an
     empty result. Other columns are ignored.
     """
@@ -193,9 +213,14 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -
     return to_python(rows).mapInArrow(_classifier(prototypes), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def with_language(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None, letters: bool = False) -> DataFrame:
-    """docs with columns _lang_pred and _score after its own, which all stay; with letters, _letters also tells whether the text has any, whatever could be learnt."""
+def with_language(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -> DataFrame:
+    """row (a struct of all columns of docs), lang_pred, score and letters (whether the text has any, whatever could be learnt) per row of docs.
+
+    The cases are those of identify(): null and letterless texts are `und`, repeated rows are read one by one, an empty table
+    gives an empty result. Columns of docs may have any names, since they stay in their struct.
+    """
     if prototypes is None:
         prototypes = learn(docs.where(~held_out()))
-    own = ", ".join(f"`{name.replace('`', '``')}` {kind}" for name, kind in docs.dtypes)
-    return to_python(docs).mapInArrow(_classifier(prototypes, True, letters), f"{own}, _lang_pred string, _score double{', _letters boolean' if letters else ''}")
+    rows = docs.select(whole(docs))
+    found = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("letters", T.BooleanType())])
+    return to_python(rows).mapInArrow(_classifier(prototypes, True), found)
