@@ -1,7 +1,6 @@
 """Registered queries on the smallest tables: against SQL where there is any, otherwise against brute force; and the pipeline."""
 
 import hashlib
-import math
 import os
 import sys
 from collections import Counter
@@ -14,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
-from test_small import fingerprint, pii_base, union, union_top, water, words  # noqa: E402
+from test_small import fingerprint, mix_by_hand, pii_base, union, union_top, words  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from tributary.llm.oracles import ORACLES  # noqa: E402
@@ -72,27 +71,6 @@ def test_others(spark, duck):
         assert {i for i, t, _ in docs if line in t} == {i for i, x in licenses.items() if name in x.split(",")}
 
 
-def mixed_copies(docs):
-    """How often each document (doc_id -> text, source) is drawn, from the description of the mix."""
-    size = {i: len(words(t)) for i, (t, _) in docs.items()}
-    by = {}
-    for i, (_, s) in docs.items():
-        by.setdefault(s, []).append(i)
-    total = sum(size.values())
-    target = water({s: sum(size[i] for i in own) for s, own in by.items()})
-    blocks, copies = min(65_536, max(256, len(docs) // 2_000)), Counter()
-    for s, own in by.items():
-        held = sum(size[i] for i in own)
-        quota = min(math.floor(target[s] + 0.5), 3 * held)
-        passes, rest = divmod(quota, held) if held else (0, 0)
-        buckets = max(1, math.ceil(float(held) * float(blocks) / float(max(total, 1))))
-        h = {i: int(hashlib.md5(f"11:{i}".encode()).hexdigest()[:15], 16) for i in own}
-        for i in sorted(own, key=lambda i: (h[i] % buckets, h[i], i)):
-            copies[i] += passes + (1 if size[i] and rest * 2 >= size[i] else 0)
-            rest -= size[i]
-    return copies
-
-
 def test_pipeline(spark, tmp_path):
     """The stages' decisions, one after the other, by brute force."""
     own = spark.read.parquet(f"{SF}/documents.parquet")
@@ -109,7 +87,7 @@ def test_pipeline(spark, tmp_path):
     fps = [fingerprint(docs[i][0]) for i in ids]
     up = union(len(ids), [(a, b) for a in range(len(ids)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4])
     docs = {ids[k]: docs[ids[k]] for k in range(len(ids)) if union_top(up, k) == k}
-    copies = mixed_copies(docs)
+    copies = {i: len(x) for (i, _), x in zip(docs.items(), mix_by_hand([(i, t, s) for i, (t, s) in docs.items()], cut=False), strict=True)}
     reference, want = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json"))), Counter()
     for i, (t, _) in docs.items():
         e = np.array(reference.encode(t, add_special_tokens=False).ids, "<u4")
@@ -133,3 +111,17 @@ def test_pipeline_keeps_texts_whose_language_is_not_learnt(spark, lang):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     out = corpus_pipeline.identify_language(spark, docs, SF)
     assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == list(range(8))
+
+
+def test_pipeline_leaves_other_columns_alone(spark):
+    """Whatever columns documents have, with names that the stages use themselves among them, they come back as they were."""
+    names = ["_th", "_TH2", "_copy", "_lang_pred", "_score", "a.b", "row", "Kept", "uid", "_id", "h", "size", "shard", "place", "part", "room", "drawn", "_none", "_name", "letters", "we`ird"]
+    texts = ["one text of many words", "one text of many words", "another, of other words", None, "12", "third text of letters", ""]
+    rows = [(k, t, "en", f"s{k % 2}", *[k * 100 + j for j in range(len(names))]) for k, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n.replace('`', '``')}` long" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        assert out.count() and {tuple(r) for r in out.collect()} <= set(rows), name
+    assert corpus_pipeline.encode(spark, docs, SF).count() == len(rows)

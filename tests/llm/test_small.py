@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -140,40 +141,121 @@ def water(sizes, cap=3):
         capped |= over
 
 
+def md5_key(*parts):
+    return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:15], 16)
+
+
+def mix_by_hand(docs, cut=True, shards=16, seed=11):
+    """For each of docs (doc_id, text, source) its draws (pass, shard, words, place), from the description of the mix: a node's tickets are split in Python lists."""
+    docs = [(i, len(words(t)), s, md5_key(seed, "" if i is None else i)) for i, t, s in docs]
+    by = defaultdict(list)
+    for k, (_, _, s, _) in enumerate(docs):
+        by[s].append(k)
+    total = sum(n for _, n, _, _ in docs)
+    target = water({s: sum(docs[k][1] for k in own) for s, own in by.items()})
+    blocks, buckets, passes, held, rest, extra = min(65_536, max(256, len(docs) // 2_000)), {}, {}, {}, {}, {}
+    for s, own in by.items():
+        size = sum(docs[k][1] for k in own)
+        quota = min(int(target[s] + 0.5), 3 * size)
+        passes[s], rest[s] = divmod(quota, size) if size else (0, 0)
+        buckets[s] = max(1, -int(-(float(size) * float(blocks) / float(max(total, 1))) // 1))
+        held[s] = [0] * buckets[s]
+        for k in own:
+            held[s][docs[k][3] % buckets[s]] += docs[k][1]
+        extra[s] = sum(sum(held[s][:b]) < rest[s] for b in range(buckets[s]))
+    tickets = [(s, k) for s in by for k in range(passes[s] * buckets[s] + extra[s])]
+    tickets.sort(key=lambda t: md5_key(f"{seed}:tree", "" if t[0] is None else t[0], str(t[0] is None).lower(), t[1]))
+    quota = Counter()
+
+    def node(tickets, low, high):
+        if high - low == 1:
+            quota.update((s, low) for s, _ in tickets)
+            return
+        mid = low + (high - low) // 2
+        left = len(tickets) * (mid - low) // (high - low)
+        node(tickets[:left], low, mid)
+        node(tickets[left:], mid, high)
+
+    node(tickets, 0, shards)
+    out = [[] for _ in docs]
+    for s, own in by.items():
+        at = 0
+        for shard in range(shards):
+            for place in range(at, at + quota[s, shard]):
+                turn, bucket = divmod(place, buckets[s])
+                members = [(md5_key(seed, shard, turn, docs[k][3]), docs[k][3], docs[k][0] or -1, docs[k][1], k) for k in own if docs[k][3] % buckets[s] == bucket]
+                before = sum(held[s][:bucket])
+                room = rest[s] - before if turn == passes[s] and before < rest[s] < before + held[s][bucket] else None
+                for key, _, _, size, k in sorted(members):
+                    if room is None:
+                        out[k].append((turn, shard, size, key))
+                    else:
+                        part = max(0, min(size, room)) if cut else size if room * 2 >= size and room > 0 else 0
+                        out[k] += [(turn, shard, part, key)] if part else []
+                        room -= size
+            at += quota[s, shard]
+    return [sorted(x) for x in out]
+
+
 def test_mixing(spark, rows):
     sizes = Counter()
     for _, t, _, s in rows:
         sizes[s] += len(words(t))
     want = water(sizes)
-    each, docs = mixing.draws(table(spark, rows))
     out = mixing.mix(table(spark, rows)).cache()
-    assert got(out, "doc_id", "size", "source_size") == Counter((i, len(words(t)), sizes[s]) for i, t, _, s in rows)
-    taken, of = Counter(), {r["uid"]: r for r in docs.collect()}
-    for r in out.collect():
-        assert 0 <= r["taken"] <= 3 * r["size"] and abs(r["target"] - want[of[r["uid"]]["source"]]) < 1e-6
-        taken[of[r["uid"]]["source"]] += r["taken"]
+    by_hand = mix_by_hand([(i, t, s) for i, t, _, s in rows])
+    listed = lambda x, k: ",".join(str(d[k]) for d in x)
+    assert got(out, "doc_id", "size", "source_size", "taken", "shards", "places") == Counter((i, len(words(t)), sizes[s], sum(d[2] for d in x), listed(x, 1), listed(x, 3)) for (i, t, _, s), x in zip(rows, by_hand, strict=True))
+    taken = Counter()
+    for (_, t, _, s), x in zip(rows, by_hand, strict=True):
+        taken[s] += sum(d[2] for d in x)
+        assert sum(d[2] for d in x) <= 3 * len(words(t))
     assert all(abs(taken[s] - want[s]) <= 1 for s in sizes)
+    assert all(min(abs(r["target"] - x) for x in want.values()) < 1e-6 for r in out.collect())
     again = mixing.mix(table(spark, rows).repartition(5))
-    assert got(again, "doc_id", "size", "taken") == got(out, "doc_id", "size", "taken")
-    total = each.agg(F.sum("words")).first()[0]
-    assert abs(total - sum(sizes.values())) <= len(sizes)
+    assert got(again, "doc_id", "size", "taken", "shards") == got(out, "doc_id", "size", "taken", "shards")
     assert mixing.mix(table(spark, rows).limit(0)).count() == 0
     assert mixing.mix(table(spark, [(1, None, None, "a"), (2, "", None, "b")])).where("taken = 0 and target = 0").count() == 2
-    copies = mixing.mixed(table(spark, rows))
-    placed = mixing.arranged(table(spark, rows))
-    assert got(placed, "doc_id", "text") == got(copies, "doc_id", "text") and placed.select("_shard").distinct().count() == 16
-    assert got(placed, "doc_id", "text", "_shard") == got(mixing.arranged(table(spark, rows)), "doc_id", "text", "_shard")
-    assert copies.columns == table(spark, rows).columns and copies.groupBy("doc_id", "text").count().agg(F.max("count")).first()[0] <= 9
+
+
+def test_mixed_rows(spark, rows):
+    """The rows themselves, whole, in their shards, each shard in the order of its draws."""
+    placed = mixing.arranged(table(spark, rows), named="shard")
+    assert placed.columns == [*table(spark, rows).columns, "shard_"]
+    want = Counter((i, t, d[1]) for (i, t, _, s), x in zip(rows, mix_by_hand([(i, t, s) for i, t, _, s in rows], cut=False), strict=True) for d in x)
+    assert got(placed, "doc_id", "text", "shard_") == want
+    key = {(r["doc_id"], r["text"]): None for r in placed.collect()}
+    assert len(key) > 50 and mixing.mixed(table(spark, rows)).columns == table(spark, rows).columns
+    one = mixing.arranged(table(spark, rows), named="shard", shards=4).collect()
+    spots = {(r["doc_id"], r["text"], r["shard_"]) for r in one}
+    by_hand = mix_by_hand([(i, t, s) for i, t, _, s in rows], cut=False, shards=4)
+    order = {(i, t, d[1]): d[3] for (i, t, _, _), x in zip(rows, by_hand, strict=True) for d in x}
+    assert spots == set(order)
+    if int(spark.conf.get("spark.sql.shuffle.partitions")) <= 4:  # a shard is one piece, so its rows come in its order
+        for shard in range(4):
+            keys = [order[r["doc_id"], r["text"], shard] for r in one if r["shard_"] == shard]
+            assert keys == sorted(keys)
+    assert mixing.mixed(table(spark, rows).limit(0)).count() == 0
 
 
 def test_splitting_tree(spark):
-    blocks = spark.createDataFrame([(s, 0, b) for s, n in (("a", 40), ("b", 20), (None, 4)) for b in range(n)], "source string, pass int, bucket long")
-    out = mixing.split(blocks, 8, 1).collect()
-    assert Counter(r["shard"] for r in out) == {k: 8 for k in range(8)}
+    tickets = spark.createDataFrame([(s, k) for s, n in (("a", 40), ("b", 20), (None, 4)) for k in range(n)], "source string, ticket long")
+    out = mixing.split(tickets, 8, 1).collect()
+    assert Counter(r["shard"] for r in out) == {k: 8 for k in range(8)} and sorted(r["rank"] for r in out) == list(range(64))
     assert Counter(r["source"] for r in out) == {"a": 40, "b": 20, None: 4}
+    quotas = mixing.leaf_quotas(mixing.split(tickets, 8, 1)).collect()
+    assert sum(r["quota"] for r in quotas if r["source"] == "a") == 40 and all(r["first"] == sum(q["quota"] for q in quotas if q["source"] == r["source"] and q["shard"] < r["shard"]) for r in quotas)
     # over many seeds a shard gets each source's share on average, with the spread of draws without replacement
-    draws = [sum(r["source"] == "a" for r in mixing.split(blocks, 2, s).where("shard = 0").collect()) for s in range(30)]
-    assert abs(np.mean(draws) - 20) < 1.5 and 0.8 < np.std(draws) < 4.5
+    draws = [sum(r["source"] == "a" for r in mixing.split(tickets, 2, s).where("shard = 0").collect()) for s in range(12)]
+    assert abs(np.mean(draws) - 20) < 2.5 and 0.5 < np.std(draws) < 4.5
+
+
+def test_targets_of_many_sources(spark):
+    rng = random.Random(12)
+    sizes = {f"s{k:04d}": rng.choice([0, 1, 3, 10, 1_000, 50_000]) * rng.randint(1, 9) for k in range(400)} | {None: 7}
+    out = mixing.targets(spark.createDataFrame([(s, 1, n) for s, n in sizes.items()], "source string, source_rows long, words long")).collect()
+    want = water(sizes)
+    assert len(out) == len(want) and all(abs(r["target"] - want[r["source"]]) < 1e-6 * max(1, want[r["source"]]) for r in out)
 
 
 def fingerprint(t):
@@ -396,7 +478,8 @@ def test_pii_query(spark, rows):
     assert pii.find_pii(table(spark, rows).limit(0)).count() == 0
 
 
-def test_substring(spark, rows):
+def without_repeats(rows):
+    """(doc_id, n_words, n_removed, sha of what is kept, kept) of each row, by brute force."""
     first = {}
     for i, t, *_ in rows:
         w, at = words(t), i if i is not None else 1 << 62
@@ -409,12 +492,58 @@ def test_substring(spark, rows):
         gone = {q for p in range(len(w) - 49) if first[tuple(w[p : p + 50])] < at for q in range(p, p + 50)}
         kept = " ".join(x for q, x in enumerate(w) if q not in gone)
         want[i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept] += 1
+    return want
+
+
+CUT = ("doc_id", "n_words", "n_removed", "kept_sha256", "kept")
+
+
+def test_substring(spark, rows):
+    want = without_repeats(rows)
     for batches in (1, 4):
-        assert got(substring.substring_dedup(table(spark, rows), batches, with_text=True), "doc_id", "n_words", "n_removed", "kept_sha256", "kept") == want
+        assert got(substring.substring_dedup(table(spark, rows), batches, with_text=True), *CUT) == want
     assert substring.substring_dedup(table(spark, rows).limit(0)).count() == 0
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("tributary_run_")]
 
 
+def test_substring_compares_words(spark, rows):
+    """Under hashes of a few bits nearly all windows seem equal: words tell that they are not, and other hashes are taken."""
+    out = substring.substring_dedup(table(spark, rows), with_text=True, attempts=(3, 64))
+    assert got(out, *CUT) == without_repeats(rows)
+    with pytest.raises(RuntimeError, match="anew"):
+        substring.substring_dedup(table(spark, rows), attempts=(3,))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tributary_run_")]
+
+
+def test_substring_index_outlives_a_call(spark, rows, tmp_path, monkeypatch):
+    """Three tables one after the other, each against the index alone, give what they give as one; a call that fails changes nothing."""
+    base = words(rows[40][1])
+    more = [*rows, (150, " ".join([*base[30:90], "x", *words(rows[3][1])]), "en", "x"), (160, " ".join(words(rows[110][1])[5:]), "en", "x"), (170, " ".join(base[:70]), "en", "x")]
+    named = [r for r in more if r[0] is not None]
+    want = without_repeats(named)
+    index, found = str(tmp_path / "index"), Counter()
+    for low, high in ((0, 60), (60, 120), (120, 1000)):
+        part = table(spark, [r for r in named if low <= r[0] < high])
+        if low == 60:
+            with monkeypatch.context() as m:
+                m.setattr(substring, "_verify", lambda *_: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    substring.substring_dedup(part, index=index)
+        found += got(substring.substring_dedup(part, 2, with_text=True, index=index), *CUT)
+    assert found == want
+    with pytest.raises(ValueError, match="not after"):
+        substring.substring_dedup(table(spark, rows[:3]), index=index)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tributary_run_")]
+    runs = [p.name for p in (tmp_path / "index").iterdir() if p.name.startswith("tributary_run_")]
+    assert 1 <= len(runs) <= 2 and not [p for p in Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")).iterdir() if p.name.startswith("tributary_run_")]
+
+
+def test_claims():
+    assert list(substring.claims([(1, 0, 5, 10, 1), (1, 0, 6, 11, 1), (1, 0, 6, 11, 3), (2, 0, 9, 14, 1), (1, 0, 20, 25, 2)])) == [(1, 0, 5, 10, 4), (1, 0, 20, 25, 2), (2, 0, 9, 14, 1)]
+    long = list(substring.claims([(1, 0, 1_000, 3, 3_000)]))
+    assert sum(n for *_, n in long) == 3_000 and [w for _, _, w, _, _ in long] == [1_000, 1_024, 2_048, 3_072]
+
+
 def test_language(spark):
     rng = random.Random(8)
     letters = {"aa": "aeioubcd", "bb": "xyzwvkqj", "cc": "éèàùçñöü"}
@@ -432,7 +561,33 @@ def test_language(spark):
     assert {(r["lang_pred"], r["score"]) for r in nothing} == {("und", 0.0)}
     assert language.identify(table(spark, rows).limit(0)).count() == 0
     both = language.with_language(table(spark, [*rows, *odd]))
-    assert both.columns[:-2] == table(spark, rows).columns and both.where("_lang_pred = 'und'").count() == 3
+    assert both.select("row.*").columns == table(spark, rows).columns and both.where("lang_pred = 'und' and not letters").count() == 3
+
+
+def test_language_bundles():
+    """Against the definition, letter by letter; also where a text is taken in pieces."""
+    rng = random.Random(13)
+    text = lambda n: " ".join("".join(rng.choice("abcéß") for _ in range(rng.randint(1, 6))) for _ in range(n))
+    texts = [text(30), "", "12 !", "a", "Ab, c" + " 3 " + text(5), text(400)]
+    space, plain = language.Space(), []
+    for t in texts:
+        letters, sums = [], np.zeros(space.dimension)
+        for c in " " + t.lower() + " ":
+            c = ord(c) if c.isalpha() else 0
+            if c or not letters or letters[-1]:
+                letters.append(c)
+        if len(letters) > 1:
+            for k in range(len(letters) - 2):
+                # the last letter of a gram is not permuted, each one before it by one place more
+                sums += space.vector(letters[k + 2]).astype(int) * np.roll(space.vector(letters[k + 1]), 1) * np.roll(space.vector(letters[k]), 2)
+        plain.append(sums)
+    assert np.array_equal(space.bundles(texts), np.array(plain, np.float32))
+    whole = language.PIECE
+    try:
+        language.PIECE = 17
+        assert np.array_equal(space.bundles(texts), np.array(plain, np.float32))
+    finally:
+        language.PIECE = whole
 
 
 def test_language_learns_rare_ones(spark):
