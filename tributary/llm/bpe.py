@@ -12,6 +12,8 @@ from __future__ import annotations
 import hashlib
 import json
 import sys
+from array import array
+from collections import ChainMap
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -28,6 +30,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Words whose encodings a worker remembers at a time, and as many of those before; pairs of tokens that it remembers.
 MEMORY = 180_000
 PAIRS = 400_000
+#: Letters of words that are remembered at all: longer ones are encoded for their batch alone, so what is remembered is bounded in bytes, too.
+LONG = 64
 
 
 def byte_letters() -> dict[str, int]:
@@ -108,8 +112,7 @@ class Bpe:
         token, may_follow, reach, apart = self.token.get, self.may_follow, self.reach.get, self.apart
         if len(apart) > PAIRS:
             apart.clear()
-        last: list[int] = [-1]  # last[i]: the last token of the path's first i bytes
-        length: list[int] = [0]
+        last, length = array("i", [-1]), array("i", [0])  # last[i]: the last token of the path's first i bytes
         before = b""
         for word in words:
             size, shared = len(word), 0
@@ -145,11 +148,11 @@ class Bpe:
                 end -= length[end]
             yield out[::-1]
 
-    def learn(self, words: set[str]) -> None:
-        """Adds the encodings of words, as bytes of unsigned 32-bit numbers."""
+    def learn(self, words: set[str], known: dict[str, bytes]) -> None:
+        """Adds the encodings of words, as bytes of unsigned 32-bit numbers, to known."""
         new, packed = sorted([(w.encode(), w) for w in words]), self.packed
         for (_, w), ids in zip(new, self.encode_words([b for b, _ in new]), strict=True):
-            self.known[w] = b"".join([packed[i] for i in ids])
+            known[w] = b"".join([packed[i] for i in ids])
 
     def pieces(self, text: str) -> list[list[str] | int]:
         """The text cut at special tokens (as ids) and into words."""
@@ -167,11 +170,18 @@ class Bpe:
                     seen.update(part)
         if len(self.known) > MEMORY:  # words that are still in use come back from there
             self.older, self.known = self.known, {}
-        new = seen - self.known.keys()
+        known = self.known
+        new = seen - known.keys()
         back = new & self.older.keys()
-        self.known.update(zip(back, map(self.older.__getitem__, back), strict=True))
-        self.learn(new - back)
-        ids = self.known.__getitem__
+        known.update(zip(back, map(self.older.__getitem__, back), strict=True))
+        new -= back
+        long = {w for w in new if len(w) > LONG}
+        self.learn(new - long, known)
+        if long:
+            once: dict[str, bytes] = {}
+            self.learn(long, once)
+            known = ChainMap(once, known)
+        ids = known.__getitem__
         return [b"".join([part.to_bytes(4, "little") if isinstance(part, int) else b"".join(map(ids, part)) for part in text]) for text in cut]
 
     def decode(self, ids: bytes) -> str:
@@ -223,7 +233,7 @@ def _encoder(path: str, keep_ids: bool) -> Callable[[Iterator[pa.RecordBatch]],
 def bpe_encode(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256, and with keep_ids also ids and decoded.
 
-    Null and empty texts have no tokens. The strings of special tokens in a text are those tokens. Nothing is truncated.
+    Null and empty texts have no tokens; long ones are encoded whole. The strings of special tokens in a text are those tokens. Nothing is truncated.
     Repeated rows are encoded one by one. An empty table gives an empty result. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
