@@ -370,6 +370,14 @@ def test_embeddings(spark):
     assert embeddings.embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_any_magnitude(spark):
+    """Norms beyond what doubles hold: directions count alone."""
+    v = [0.3, -0.2, 0.9, 0.1]
+    rows = [(k, [x * s for x in v], "a") for k, s in enumerate((1.0, 1e200, 1e-200, 1e300, 1e-300, -1.0))]
+    out = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert out == {k: (4, 0) for k in range(5)} | {5: (0, 5)}
+
+
 def test_estimates_are_unbiased():
     """Over random rotations the estimate's mean is the cosine, and the bound holds."""
     rng = np.random.default_rng(4)
@@ -379,12 +387,40 @@ def test_estimates_are_unbiased():
     est = []
     for seed in range(400):
         turn = embeddings.rotation(64, seed)
-        codes, factor, _ = embeddings.encode(o[None], turn)
-        est.append(float(embeddings.estimates(codes, factor, (q @ turn.T)[None])[0][0, 0]))
-        assert embeddings.candidates(codes, factor, (q @ turn.T)[None], float(o @ q))[0, 0]
+        code, factor, _ = embeddings.encode(o[None], turn)
+        query, step, lost = embeddings.quantised((turn @ q)[None])
+        b = embeddings.products(code, query, step)[0, 0]
+        est.append(b / factor[0])
+        assert abs(b - np.sign(turn @ o) @ (turn @ q) / 8) <= lost[0] + 1e-6 and lost[0] < 0.02
+        assert len(next(embeddings.open_pairs(code, factor, query, step, lost, float(o @ q), False))[0]) == 1
     assert abs(np.mean(est) - o @ q) < 4 * np.std(est) / 20
 
 
+def test_few_pairs_are_recomputed():
+    """All pairs at or over the threshold are open, and hardly any other is."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([c + rng.standard_normal((40, 64)) * 0.02 * k for k, c in enumerate(rng.standard_normal((50, 64)))])
+    x = embeddings.units(x)
+    code, factor, turned = embeddings.encode(x, embeddings.rotation(64))
+    found = np.zeros((len(x), len(x)), bool)
+    for i, j in embeddings.open_pairs(code, factor, *embeddings.quantised(turned), 0.98, True):
+        found[i, j] = True
+    link = np.triu(x @ x.T >= 0.98, 1)
+    near = np.triu(x @ x.T >= 0.6, 1)
+    assert link.sum() > 1_000 and not (link & ~found).any() and (found & ~near).sum() < 1e-4 * len(x) ** 2
+
+
+def test_classes():
+    rng = np.random.default_rng(6)
+    a, b = rng.integers(0, 200, (2, 120))
+    c = embeddings.Classes(200)
+    for k in range(0, 120, 30):
+        c.join(a[k : k + 30], b[k : k + 30])
+    up = union(200, list(zip(a.tolist(), b.tolist(), strict=True)))
+    tops = [union_top(up, k) for k in range(200)]
+    assert c.least.tolist() == [min(k for k in range(200) if tops[k] == t) for t in tops]
+
+
 def test_bpe(spark, rows):
     extra = [(900, "<|endoftext|> a<|endoftext|>b <|endoftext", "en", "x"), (901, "日本語 😀 ñandú\x00\x85", "en", "x"), (902, "x" * 5_000, "en", "x"), (903, " " * 700 + "\n\n a", "en", "x")]
     reference = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
@@ -629,9 +665,19 @@ def test_substring_index_outlives_a_call(spark, rows, tmp_path, monkeypatch):
 
 
 def test_claims():
-    assert list(substring.claims([(1, 0, 5, 10, 1), (1, 0, 6, 11, 1), (1, 0, 6, 11, 3), (2, 0, 9, 14, 1), (1, 0, 20, 25, 2)])) == [(1, 0, 5, 10, 4), (1, 0, 20, 25, 2), (2, 0, 9, 14, 1)]
-    long = list(substring.claims([(1, 0, 1_000, 3, 3_000)]))
+    """They are spans, or joins of spans, that cover all words that spans cover, none more than twice."""
+    of = lambda *spans: list(substring.claims(*np.array(spans, np.int64).T))
+    assert of((1, 0, 5, 10, 1), (1, 0, 6, 11, 1), (1, 0, 6, 11, 3), (2, 0, 9, 14, 1), (1, 0, 20, 25, 2)) == [(1, 0, 5, 10, 4), (1, 0, 20, 25, 2)]
+    long = of((1, 0, 1_000, 3, 3_000))
     assert sum(n for *_, n in long) == 3_000 and [w for _, _, w, _, _ in long] == [1_000, 1_024, 2_048, 3_072]
+    rng = random.Random(16)
+    for _ in range(500):
+        spans = [(rng.randint(0, 2), 0, p + rng.choice([0, 7]), p, rng.randint(1, 9)) for p in (rng.randint(0, 300) for _ in range(rng.randint(1, 40)))]
+        single = {(w, q + k, p + k) for w, _, q, p, n in spans for k in range(n)}
+        found = of(*spans)
+        assert {(w, q + k, p + k) for w, _, q, p, n in found for k in range(n)} <= single
+        count = Counter(x for *_, p, n in found for x in range(p, p + n + 49))
+        assert set(count) == {x for *_, p, n in spans for x in range(p, p + n + 49)} and max(count.values()) <= 2
 
 
 def test_language(spark):
