@@ -19,12 +19,14 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import stage
+from tributary.llm.common import checked, stage
 from tributary.llm.license_texts import TEXTS
 
 WIDTH = 5
 BANDS = 32
 CONTAINMENT = 0.8
+#: Bytes of all templates together, at most; what is sent to the executors of them is in proportion.
+MOST_BYTES = 4 << 20
 
 #: Notices and whole texts by the name that they are reported under.
 TEMPLATES = {
@@ -72,11 +74,13 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     short = [k for k, v in templates.items() if len(re.findall(r"[^\W_]+", v)) < WIDTH]
     if short:
         raise ValueError(f"templates need {WIDTH} words: {short}")
+    if sum(len(v.encode()) for v in templates.values()) > MOST_BYTES:
+        raise ValueError(f"templates are over {MOST_BYTES} bytes")
     t = spark.createDataFrame(sorted(templates.items()), "template string, text string").withColumn("w", words())
     t = t.withColumn("hashes", F.array_distinct(hashes(F.col("w")))).withColumn("shingles", F.array_distinct(strings(F.col("w"))))
     size = F.size(hashes(F.col("w")))
-    cls = F.lit(1 << 13)
-    for power in range(12, -1, -1):
+    cls = F.lit(1 << 21)  # more shingles than MOST_BYTES hold
+    for power in range(20, -1, -1):
         cls = F.when(size <= 1 << power, F.lit(1 << power)).otherwise(cls)
     least = F.array(*[F.array_min(_band(F.col("hashes"), b))["own"] for b in range(BANDS)])
     return t.select("template", cls.cast("int").alias("class"), "shingles", F.array_distinct(least).alias("marks"), bands(F.col("hashes")).alias("bands"))
@@ -104,8 +108,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> tuple[Data
     wins = wins.select("uid", "doc_id", "class", at.alias("at"), F.slice("h", at + 1, 2 * F.col("class")).alias("h"), F.slice("w", at + 1, 2 * F.col("class") + WIDTH - 1).alias("w"))
     wins = wins.where(reduce(or_, [(F.col("class") == c) & marked(c) for c in classes]))
     keyed = wins.select("uid", "doc_id", "class", "at", "w", F.posexplode(bands(F.col("h"))).alias("band", "least"))
-    met = keyed.join(F.broadcast(table), ["class", "band", "least"])
-    met = met.dropDuplicates(["uid", "at", "template"]).join(F.broadcast(known.select("template", "shingles")), "template")
+    met = keyed.join(checked(table), ["class", "band", "least"])
+    met = met.dropDuplicates(["uid", "at", "template"]).join(F.broadcast(known.select("template", "shingles")), "template")  # MOST_BYTES and five times as much
     share = F.size(F.array_intersect("shingles", strings(F.col("w")))) / F.size("shingles")
     found = met.select("uid", "doc_id", "template", "at", share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
     found = found.groupBy("uid", "doc_id", "template").agg(F.max("containment").alias("containment"), F.min_by("at", F.struct(-F.col("containment"), F.col("at"))).alias("first_word"))
