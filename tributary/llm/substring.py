@@ -142,22 +142,39 @@ def _windows(seed: int, bits: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def claims(spans: list[tuple[int, int, int, int, int]]) -> Iterator[tuple[int, int, int, int, int]]:
-    """Spans (wid, wth, wpos, pos, len), each len windows from pos on that are said to repeat those from wpos on in document
-    wid, as (wid, wth, wpos, pos, len) that do not overlap for one document and offset; cut where wpos is a multiple of PIECE."""
-    begun: tuple[int, int, int] | None = None
-    low = high = 0
-    for wid, wth, off, lo, hi in [*sorted((w, h, q - p, p, p + n) for w, h, q, p, n in spans), (None,) * 5]:
-        if begun is not None and ((wid, wth, off) != begun or lo > high):
+def claims(wid: np.ndarray, wth: np.ndarray, wpos: np.ndarray, pos: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+    """Spans, each `size` windows from pos on that are said to repeat those from wpos on in document (wid, wth), as fewer ones (wid, wth, wpos, pos, size) that cover the same words.
+
+    Spans of one document and offset are joined where they meet; then, of all that begin within what is covered, the one
+    that reaches furthest is taken, so no word is in more than two. Those taken are cut where wpos is a multiple of PIECE.
+    """
+    off = wpos - pos
+    order = np.lexsort((pos, off, wth, wid))
+    wid, wth, off, lo, hi = wid[order], wth[order], off[order], pos[order], (pos + size)[order]
+    # joined: a span begins anew where the document or the offset changes, or after a gap
+    change = np.r_[True, (wid[1:] != wid[:-1]) | (wth[1:] != wth[:-1]) | (off[1:] != off[:-1])]
+    group = np.cumsum(change) - 1
+    far = int(hi.max()) + 1
+    reach = np.maximum.accumulate(hi + group * far) - group * far  # the greatest end so far within the group
+    new = change | np.r_[True, lo[1:] > reach[:-1]]
+    first = np.flatnonzero(new)
+    wid, wth, off, lo, hi = wid[first], wth[first], off[first], lo[first], np.maximum.reduceat(hi, first)
+    order = np.lexsort((-hi, lo))
+    last = -1  # words before this are covered; a span covers those from its first window's first to its last window's last
+    best = -1
+    for k in [*order.tolist(), -1]:
+        if best >= 0 and (k < 0 or lo[k] > last):
+            low, high, to = int(lo[best]), int(hi[best]), int(off[best])
+            last = high + WINDOW - 1
             while low < high:
-                end = min(high, low + PIECE - (low + begun[2]) % PIECE)
-                yield begun[0], begun[1], low + begun[2], low, end - low
+                end = min(high, low + PIECE - (low + to) % PIECE)
+                yield int(wid[best]), int(wth[best]), low + to, low, end - low
                 low = end
-            begun = None
-        if wid is not None:
-            if begun is None:
-                begun, low, high = (wid, wth, off), lo, hi
-            high = max(high, hi)
+            best = -1
+        if k >= 0 and hi[k] + WINDOW - 1 > last and (best < 0 or hi[k] > hi[best]):
+            if best < 0 and lo[k] > last:
+                last = int(lo[k])  # nothing is covered from here on: any span that begins here may be next
+            best = k
 
 
 CUT = "id long, th long, n_removed long, kept_sha256 string, kept string, wid long, wth long, wpos int, len int, words binary"
@@ -173,26 +190,28 @@ def _cut(batches: Batches) -> Batches:
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)], list(kinds))
 
     for b in batches:
-        for i, th, t, spans in zip(b["id"].to_pylist(), b["th"].to_pylist(), b["text"].to_pylist(), b["spans"].to_pylist(), strict=True):
+        lists = b["spans"]
+        bounds, fields = lists.offsets.to_numpy(), {f: lists.values.field(f).to_numpy().astype(np.int64) for f in ("pos", "len", "wid", "wth", "wpos")}
+        for k, (i, th, t) in enumerate(zip(b["id"].to_pylist(), b["th"].to_pylist(), b["text"].to_pylist(), strict=True)):
             words = t.split()
+            pos, size, wid_, wth_, wpos_ = (x[bounds[k] : bounds[k + 1]] for x in fields.values())
             cover = np.zeros(len(words) + 1, np.int64)
-            pos, size = np.array([s["pos"] for s in spans], np.int64), np.array([s["len"] for s in spans], np.int64)
             np.add.at(cover, pos, 1)
             np.add.at(cover, pos + size + WINDOW - 1, -1)
             out = np.cumsum(cover[:-1]) > 0
             left = b" ".join([w for w, o in zip(words, out.tolist(), strict=True) if not o])
             rows.append((i, th, int(out.sum()), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "replace"), None, None, None, None, None))
-            held += len(left)
-            if held > 1 << 20:
-                yield flush()
-                rows, held = [], 0
-            for wid, wth, wpos, at, n in claims([(s["wid"], s["wth"], s["wpos"], s["pos"], s["len"]) for s in spans]):
+            held += len(left) + 200
+            for wid, wth, wpos, at, n in claims(wid_, wth_, wpos_, pos, size):
                 said = b" ".join(words[at : at + n + WINDOW - 1])
                 rows.append((i, th, None, None, None, wid, wth, wpos, n, said))
-                held += len(said)
+                held += len(said) + 200
                 if held > 1 << 20:
                     yield flush()
                     rows, held = [], 0
+            if held > 1 << 20:
+                yield flush()
+                rows, held = [], 0
     if rows:
         yield flush()
 
