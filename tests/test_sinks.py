@@ -7,8 +7,9 @@ import sys
 from pathlib import Path
 
 from tributary.sources import sinks
-from tributary.sources.events import decode_table
+from tributary.sources.events import METRICS, decode_table, metrics_csv
 from tributary.streaming import pipeline
+from tributary.streaming.store import Store
 
 NOW = datetime.datetime(2024, 1, 16, 12)
 
@@ -28,22 +29,33 @@ def test_json(spark, tmp_path):
 
 def test_csv(spark, tmp_path):
     (tmp_path / "m.csv").write_text("phase,rate,lag\nwarmup,1.5,3\nbad,x,y\nsteady,,\n")
-    rows = decode_table(spark, str(tmp_path / "m.csv"), "phase string, rate double, lag int").collect()
-    assert [tuple(r) for r in rows] == [("warmup", 1.5, 3), ("steady", None, None)]
-    sinks.write_metrics_csv(spark.createDataFrame(rows), str(tmp_path / "out"))
-    assert decode_table(spark, str(tmp_path / "out"), "phase string, rate double, lag int").count() == 2
+    rows, malformed = decode_table(spark, str(tmp_path / "m.csv"), "phase string, rate double, lag int")
+    assert [tuple(r) for r in rows.collect()] == [("warmup", 1.5, 3), ("steady", None, None)] and [r["line"] for r in malformed.collect()] == ["bad,x,y"]
+    sinks.write_metrics_csv(rows, str(tmp_path / "out"))
+    assert decode_table(spark, str(tmp_path / "out"), "phase string, rate double, lag int")[0].count() == 2
+
+
+def test_metrics_csv(spark, tmp_path):
+    """Blanks are 0, a blank lag is -1; lines that do not fit are counted."""
+    names = [f.split(" ")[0] for f in METRICS.split(", ")]
+    line = lambda **v: ",".join(str(v.get(n, "")) for n in names)
+    (tmp_path / "m.csv").write_text("\n".join([",".join(names), line(ts="t", phase="warmup", actual_produce_rate=1.5, kafka_lag=7), line(ts="t", phase="steady"), line(ts="t", phase="x", errors="many")]) + "\n")
+    rows, malformed = metrics_csv(spark, str(tmp_path / "m.csv"))
+    got = {r["phase"]: r for r in rows.collect()}
+    assert (got["warmup"]["kafka_lag"], got["steady"]["kafka_lag"], got["steady"]["actual_produce_rate"], got["steady"]["errors"], got["steady"]["flink_job_status"]) == (7, -1, 0.0, 0, "")
+    assert malformed.count() == 1 and "x" not in got
 
 
 def test_replay(spark, tmp_path):
     from tributary.sources.events import event_stream, raw_events
 
     raw_events(spark, "/root/testdata/sf0.001").limit(200).write.parquet(str(tmp_path / "in"))
-    out, counts = pipeline.Sinks(str(tmp_path / "out")), []
+    out, counts = Store(spark, str(tmp_path / "out")), []
     for _ in range(2):
         sinks.empty(spark, out.root, str(tmp_path / "cp"))
-        q = pipeline.start(event_stream(spark, str(tmp_path / "in")), out, str(tmp_path / "cp"), max_skew_hours=None, available_now=True)
+        q = pipeline.start(event_stream(spark, str(tmp_path / "in")), out, str(tmp_path / "cp"), max_skew_hours=None, available_now=True, dedup_hours=None)
         assert q.awaitTermination(120)
-        counts.append(out.read(spark, "events").count() + out.read(spark, "dead_letters").count())
+        counts.append(out.read("events").count() + out.read("dead_letters").count())
     assert counts == [200, 200]
 
 

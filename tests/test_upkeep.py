@@ -1,12 +1,15 @@
 """Quality, upkeep, erasure, logs, load-test statistics, generator, schema rules."""
 
 import datetime
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions import expr
+from tributary.functions.files import Files
 from tributary.operators import erasure, logs, maintenance, perf, quality
 from tributary.plans import catalog
 from tributary.schema import DEVICES, EVENT, EVENT_TYPES, check_evolution
@@ -27,6 +30,22 @@ def test_quality_suite(spark):
     assert [d["expectation"] for d in v["failed_details"]] == ["row_count"]
 
 
+def test_quality_run(spark):
+    """The sample is of the last hour; a failed suite is stored and told, and fails its run if it is to."""
+    e = spark.createDataFrame([("abcdef%03d" % i, "session-%d" % i, NOW - datetime.timedelta(minutes=i), "VIEW", "tv" if i < 5 else "web", "1.1.1.1", None, None, "books", 1, 1.0, None) for i in range(200)], EVENT)
+    sample = quality.recent_sample(e, NOW, most=20).collect()
+    assert len(sample) == 20 and min(r["event_time"] for r in sample) >= NOW - datetime.timedelta(hours=1)
+    result, told, stored = quality.suite(quality.recent_sample(e, NOW), NOW), [], []
+    v = quality.publish(result, "events", "now", write=lambda v: stored.append(v) or "there", alert=told.append)
+    assert v["stored"] == "there" and v["failed"] == 1 and "device_in_set on device" in told[0] and stored[0]["suite_passed"] is False
+    assert quality.publish(result, "events", "now", write=lambda v: 1 / 0)["stored"] is None
+    with pytest.raises(quality.QualityError, match="1 of 16"):
+        quality.publish(result, "events", "now", alert=told.append, fail=True)
+    assert len(told) == 2
+    quality.publish(quality.suite(e.where("device = 'web'").limit(60), NOW), "events", "now", alert=told.append, fail=True)
+    assert len(told) == 2
+
+
 def test_every_nth(spark):
     ids = lambda n, most: sorted(r["id"] for r in quality.every_nth(spark.range(n), most, ["id"]).collect())
     assert ids(100, 10) == list(range(0, 100, 10)) and ids(5, 10) == list(range(5)) and ids(105, 10) == list(range(0, 100, 10)) and ids(0, 10) == []
@@ -43,14 +62,48 @@ def test_compaction(spark, tmp_path):
     assert maintenance.compact(spark, path, dry_run=True)["written"] == 0 and maintenance.table_stats(spark, path)["files"] == 20
     done = maintenance.compact(spark, path)
     assert done["small_files"] == 20 and done["written"] == 1
-    assert maintenance.table_stats(spark, path) == {"rows": 1000, "files": 1, "bytes": maintenance.files(spark, path)[0][1], "warnings": []}
+    assert maintenance.table_stats(spark, path) == {"rows": 1000, "files": 1, "bytes": Files(spark, path).data()[0][1], "warnings": []}
     assert maintenance.compact(spark, path)["written"] == 0
+    (tmp_path / "store" / "_log").mkdir(parents=True)
+    with pytest.raises(ValueError, match="store"):
+        maintenance.compact(spark, str(tmp_path / "store"))
+
+
+@pytest.mark.parametrize("kill", [None, "move", "delete", "write_new"])
+@pytest.mark.parametrize("after", [0, 1, 3])
+def test_compaction_of_partitions(spark, tmp_path, monkeypatch, kill, after):
+    """Each folder is packed by itself: partition columns stay; a kill anywhere is made good by the next run."""
+    path = str(tmp_path / "t")
+    df = spark.sql("select id, date_add(date'2024-01-01', cast(id % 3 as int)) as day, cast(id % 2 as int) as batch_id from range(600)")
+    df.repartition(4).write.partitionBy("batch_id", "day").parquet(path)
+    want = sorted(map(tuple, df.collect()))
+    read = lambda: sorted((r["id"], r["day"], r["batch_id"]) for r in spark.read.parquet(path).collect())
+    assert read() == want and maintenance.table_stats(spark, path)["files"] == 24
+    if kill:
+        real, calls = getattr(Files, kill), []
+
+        def killed(self, *a):
+            calls.append(1)
+            if len(calls) > after:
+                raise KeyboardInterrupt
+            return real(self, *a)
+
+        with monkeypatch.context() as m:
+            m.setattr(Files, kill, killed)
+            with pytest.raises(KeyboardInterrupt):
+                maintenance.compact(spark, path)
+        assert set(read()) == set(want)
+        maintenance.recover(spark, path)
+        assert read() == want
+    maintenance.compact(spark, path)
+    assert read() == want and maintenance.table_stats(spark, path)["files"] == 6
+    assert not [p for p in (tmp_path / "t").rglob("*compact-*") if p.name.startswith(".compact") and p.suffix != ".crc"]
 
 
 def test_retention(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.sql("select id, date_add(date'2024-01-01', cast(id as int)) as day from range(10)").write.partitionBy("day").parquet(path)
-    old = [f"day=2024-01-0{k}" for k in (1, 2, 3)]
+    spark.sql("select id, date_add(date'2024-01-01', cast(id as int)) as day from range(10)").write.partitionBy("day").parquet(f"{path}/batch_id=0")
+    old = [f"batch_id=0/day=2024-01-0{k}" for k in (1, 2, 3)]
     assert maintenance.purge(spark, path, "day", datetime.date(2024, 1, 10), 6, dry_run=True) == old
     assert maintenance.purge(spark, path, "day", datetime.date(2024, 1, 10), 6) == old and spark.read.parquet(path).count() == 7
 
@@ -61,9 +114,26 @@ def test_snapshots(spark, tmp_path):
     t.upsert(row(("a", 1), ("b", 1)))
     t.upsert(row(("b", 2), ("c", 2)))
     assert sorted(map(tuple, t.read().collect())) == [("a", 1), ("b", 2), ("c", 2)]
-    assert t.read(t.snapshots()[0]).count() == 2 and t.expire(dry_run=True) == t.snapshots()[:1]
-    t.expire()
-    assert len(t.snapshots()) == 1
+    assert t.read(t.snapshots()[0]).count() == 2
+    week = time.time() + 7.5 * 86_400
+    assert t.expire()["expired"] == 0 and t.expire(now=week, dry_run=True)["expired"] == 1 and len(t.snapshots()) == 2
+    assert t.expire(now=week)["expired"] == 1 and len(t.snapshots()) == 1 and t.read().count() == 3
+    assert t.stats(now=week)["snapshot_age_hours"] == 180.0
+
+
+def test_savepoint_rotation(spark, tmp_path):
+    (tmp_path / "cp" / "offsets").mkdir(parents=True)
+    (tmp_path / "cp" / "offsets" / "0").write_text("v1")
+    sp = maintenance.Savepoints(spark, str(tmp_path / "sp"))
+    made = [sp.trigger(job, str(tmp_path / "cp"), NOW - datetime.timedelta(days=d)) for job, days in (("a", (20, 15, 10, 1)), ("b", (30, 25))) for d in days]
+    assert [sp.wait(m) for m in made] == ["COMPLETED"] * 6 and sp.poll("a/none") == "UNKNOWN"
+    assert (tmp_path / "sp" / made[0] / "offsets" / "0").read_text() == "v1"
+    with pytest.raises(ValueError):
+        sp.trigger("a", str(tmp_path / "cp"), NOW - datetime.timedelta(days=1))
+    assert sp.wait(sp.trigger("c", str(tmp_path / "none"), NOW)) == "FAILED"
+    assert len(sp.inventory()) == 6
+    old = sp.rotate(NOW, dry_run=True)
+    assert old == sp.rotate(NOW) == sorted(made[:2]) and {p for p, _, _ in sp.inventory()} == set(made[2:])
 
 
 def test_savepoints(spark):
@@ -71,6 +141,9 @@ def test_savepoints(spark):
     inv = maintenance.savepoints(p, "s3://b/sp")
     assert sorted((r["job_id"], r["created_at"].day) for r in inv.collect()) == [("j1", 2), ("j1", 3)]
     assert [r["created_at"].day for r in maintenance.beyond_newest(inv, "job_id", "created_at", 1, NOW).collect()] == [2]
+    ties = spark.createDataFrame([(g, NOW - datetime.timedelta(days=d), k) for g, d, k in (("x", 1, 3), ("x", 1, 1), ("x", 1, 2), ("x", 2, 0), ("y", 1, 0), (None, 3, 0), (None, 2, 0), (None, 1, 0))], "g string, at timestamp, k int")
+    gone = maintenance.beyond_newest(ties, "g", "at", 2, NOW).collect()
+    assert sorted((r["g"] or "", r["k"]) for r in gone) == [("", 0), ("x", 0), ("x", 3)]
 
 
 def test_erasure(spark):
@@ -116,9 +189,47 @@ def test_sustained_alerts(spark):
     assert [r["hits"] for r in logs.frequent(p, F.col("lag") > 50_000, times=2).collect()] == [2]
 
 
+def test_dead_letter_rate(spark):
+    rows = [(NOW + datetime.timedelta(minutes=m), "bad" if m == 7 else None) for m in range(10) for _ in range(30)] + [(NOW, "bad")]
+    out = logs.dead_letter_rate(spark.createDataFrame(rows, "event_time timestamp, reason string")).collect()
+    assert [(r["window_start"], r["rejected"]) for r in out] == [(NOW + datetime.timedelta(minutes=5), 30)]
+
+
+def test_log_details(spark):
+    lines = [("kafka-1", "[2024-01-01 10:00:00,123] INFO [Log] Shrinking ISR from 1,2,3 for topic raw.events partition 4 highWatermark=99 leader.id: 2 (kafka.X)"), ("flink-jobmanager", "2024-01-01 10:00:00,123 WARN Task 'Dedup sink' failed")]
+    got = logs.parse(spark.createDataFrame(lines, "container string, message string")).collect()
+    assert (got[0]["topic"], got[0]["partition"], got[0]["offset"], got[0]["leader_id"], got[0]["isr"]) == ("raw.events", 4, 99, 2, "1,2,3") and got[1]["task_name"] == "Dedup sink"
+
+
 def test_percentiles(spark):
     p = perf.indexed_percentiles(spark.range(1, 101).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v")), ["g"], "v").first()
     assert (p["samples"], p["p50"], p["p95"], p["p99"]) == (100, 51.0, 96.0, 100.0)
+    rng, rows = random.Random(1), []
+    for g, n in (("a", 1), ("b", 7), (None, 500), ("c", 1_000)):
+        rows += [(g, float(rng.randint(0, 50))) for _ in range(n)]
+    out = {r["g"]: r for r in perf.indexed_percentiles(spark.createDataFrame(rows, "g string, v double").repartition(5), ["g"], "v").collect()}
+    for g in ("a", "b", None, "c"):
+        own = sorted(v for k, v in rows if k == g)
+        r = out.get(g)
+        if g is not None:  # groups are told apart by equality, so a null group has no percentile
+            assert [r["p50"], r["p95"], r["p99"]] == [own[min(int(len(own) * p / 100), len(own) - 1)] for p in (50, 95, 99)] and r["samples"] == len(own)
+
+
+def test_rates(spark):
+    """The row before is found across partitions, too."""
+    rng, rows = random.Random(2), []
+    for g in ("a", "b", None):
+        t = c = 0
+        for _ in range(rng.randint(1, 300)):
+            t, c = t + rng.randint(0, 5), c + rng.randint(0, 9)
+            rows.append((g, NOW + datetime.timedelta(seconds=t), c))
+    want = []
+    for g in ("a", "b", None):
+        own = sorted((t, c) for k, t, c in rows if k == g)
+        want += [(g or "", t, c, None if k == 0 or t == own[k - 1][0] else (c - own[k - 1][1]) / (t - own[k - 1][0]).total_seconds()) for k, (t, c) in enumerate(own)]
+    got = [(r["g"] or "", r["t"], r["c"], r["rate"]) for r in perf.rates(spark.createDataFrame(rows, "g string, t timestamp, c long").repartition(6), "c", "t", ["g"]).collect()]
+    order = lambda x: (*x[:3], x[3] is None, x[3] or 0)
+    assert sorted(got, key=order) == sorted(want, key=order)
 
 
 def test_service_levels(spark):
@@ -156,5 +267,9 @@ def test_parameters(spark):
     for n in (0, 51):
         with pytest.raises(ValueError):
             catalog.top_products(e, NOW, limit=n)
+    kinds = [("a", "VIEW")] * 9 + [("a", "ORDER_CREATED")] + [("b", "VIEW")] * 3 + [("b", "ORDER_CREATED")] * 2
+    f = spark.createDataFrame([(t, NOW, c) for c, t in kinds], "event_type string, event_time timestamp, category string")
+    order = lambda sort: [r["category"] for r in catalog.funnel(f, NOW, sort=sort).collect()]
+    assert order("views") == order("no such") == ["a", "b"] and order("orders") == ["b", "a"]
     r = spark.range(1).select(expr.usd(F.lit(1234.5)).alias("a"), expr.compact(F.lit(2_500_000)).alias("b"), expr.compact(F.lit(1234)).alias("c"), expr.percent(F.lit(0.123)).alias("d")).first()
     assert tuple(r) == ("$1,234.50", "2.5M", "1.2k", "12.3%")

@@ -31,7 +31,7 @@ def iso(ts: Column) -> Column:
 
 
 def reason(now: datetime.datetime | None = None, max_skew_hours: float | None = None) -> Column:
-    """Why a raw event is rejected, or null. now is a parameter, so a batch is judged by one instant; without max_skew_hours any time will do."""
+    """Why a raw event is rejected, or null. now is a parameter, so a batch is judged by one instant (by default when its query begins); without max_skew_hours any time will do."""
     c = F.col
     missing = lambda name: F.lit(f"missing required field: {name}")
     out = (
@@ -45,7 +45,7 @@ def reason(now: datetime.datetime | None = None, max_skew_hours: float | None =
         .when(c("price") < 0, F.concat(F.lit("price must be >= 0, got: "), c("price").cast("string")))
     )
     if max_skew_hours is not None:
-        at = F.lit(now).cast("timestamp")
+        at = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
         apart = F.abs(F.unix_millis(at) - F.unix_millis(c("event_time")))
         said = F.concat(F.lit(f"event_time out of ±{max_skew_hours:g}h window: "), iso(c("event_time")), F.lit(" (now="), iso(at), F.lit(")"))
         out = out.when(apart > int(max_skew_hours * 3_600_000), said)

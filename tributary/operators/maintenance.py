@@ -3,53 +3,81 @@
 from __future__ import annotations
 
 import datetime
+import json
 import math
+import re
+import time
 import uuid
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Days that tables are kept.
-RETENTION_DAYS = {"events": 730, "kpi_1min": 30, "funnel_5min": 90, "decode_errors": 30}
+from tributary.functions.files import Files
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at, jvm.org.apache.hadoop.fs.Path
+def _leaves(files: Files) -> dict[str, list[tuple[str, int]]]:
+    """Data files by the folder that they lie in: a folder's files are of one partition."""
+    out: dict[str, list[tuple[str, int]]] = defaultdict(list)
+    for path, size in files.data():
+        out[path.rsplit("/", 1)[0]].append((path, size))
+    return out
 
 
-def files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(path, bytes) of a folder's data files, at any depth."""
-    fs, at, _ = _fs(spark, path)
-    found, out = fs.listFiles(at, True), []
-    while found.hasNext():
-        f = found.next()
-        if not f.getPath().getName().startswith(("_", ".")):
-            out.append((f.getPath().toString(), f.getLen()))
-    return out
+def recover(spark: SparkSession, path: str) -> int:
+    """Ends what a compaction that was stopped had begun: its journal says what was to come and to go. Returns how many there were."""
+    files, n = Files(spark, path), 0
+    folders, todo = [], [""]
+    while todo:
+        at = todo.pop()
+        for name, is_folder, _ in files.names(at):
+            full = f"{at}/{name}".strip("/")
+            if is_folder and not name.startswith((".", "_")):
+                todo.append(full)
+            elif name.startswith(".compact-"):
+                folders.append((full, is_folder))
+    for journal in [f for f, is_folder in folders if not is_folder and f.endswith(".json")]:
+        _finish(files, journal)
+        n += 1
+    for rest in [f for f, is_folder in folders if is_folder or not f.endswith(".json")]:
+        files.delete(rest)  # of a compaction that had not come to its journal, or has been ended
+    return n
+
+
+def _finish(files: Files, journal: str) -> None:
+    said = json.loads(files.read(journal))
+    for beside, to in said["new"]:
+        if files.exists(beside):
+            files.move(beside, to)
+    for old in said["old"]:
+        files.delete(old)
+    files.delete(said["beside"])
+    files.delete(journal)
 
 
 def compact(spark: SparkSession, path: str, small_bytes: int = 10 << 20, target_bytes: int = 128 << 20, dry_run: bool = False) -> dict:
-    """Packs a Parquet folder's small files into ones of the target size; large ones stay as they are.
+    """Packs the small files of each folder under a path into ones of the target size, within that folder; large ones stay as they are.
 
-    New files are written beside the folder and moved in before the old ones are deleted, so a reader may see rows twice
-    for a moment but never miss one.
+    For plain folders of Parquet files, partitioned or not; tables of a Store are packed by Store.compact(). New files are
+    written to a hidden folder and a journal tells what is to be moved in and deleted, so that a compaction that is stopped
+    anywhere loses nothing and recover() (which this begins with) ends it. A reader may see rows twice for a moment but never miss one.
     """
-    small = [(f, n) for f, n in files(spark, path) if n < small_bytes]
-    out = {"small_files": len(small), "small_bytes": sum(n for _, n in small), "written": 0}
-    if len(small) < 2 or dry_run:
-        return out
-    n = max(1, math.ceil(out["small_bytes"] / target_bytes))
-    beside = f"{path.rstrip('/')}_compact_{uuid.uuid4().hex}"
-    spark.read.parquet(*[f for f, _ in small]).repartition(n).write.parquet(beside)
-    fs, to, make = _fs(spark, path)
-    for f, _ in files(spark, beside):
-        fs.rename(make(f), make(f"{to.toString()}/compact-{uuid.uuid4().hex}.parquet"))
-        out["written"] += 1
-    for f, _ in small:
-        fs.delete(make(f), False)
-    fs.delete(make(beside), True)
+    files = Files(spark, path)
+    if files.exists("_log"):
+        raise ValueError(f"{path} is a store: use Store.compact()")
+    if not dry_run:
+        recover(spark, path)
+    groups = {leaf: own for leaf, all_ in _leaves(files).items() if len(own := [f for f in all_ if f[1] < small_bytes]) > max(1, math.ceil(sum(n for _, n in own) / target_bytes))}
+    out = {"small_files": sum(map(len, groups.values())), "small_bytes": sum(n for own in groups.values() for _, n in own), "folders": len(groups), "written": 0}
+    for leaf, own in groups.items() if not dry_run else []:
+        name = f"{leaf}/.compact-{uuid.uuid4().hex}"
+        spark.read.parquet(*[f for f, _ in own]).repartition(max(1, math.ceil(sum(n for _, n in own) / target_bytes))).write.parquet(name)
+        fresh = [f"{name}/{n}" for n, _, _ in files.names(name) if n.endswith(".parquet")]
+        journal = {"beside": name, "new": [(f, f"{leaf}/compact-{uuid.uuid4().hex}.parquet") for f in fresh], "old": [f for f, _ in own]}
+        files.write_new(f"{name}.json", json.dumps(journal))
+        _finish(files, f"{name}.json")
+        out["written"] += len(fresh)
     return out
 
 
@@ -60,22 +88,35 @@ def expired_partitions(rows: DataFrame, date: str, as_of: datetime.date, days: i
 
 
 def purge(spark: SparkSession, path: str, column: str, as_of: datetime.date, days: int, dry_run: bool = False) -> list[str]:
-    """Drops whole partition folders column=YYYY-MM-DD that are out of retention; other files are not read or rewritten."""
-    fs, at, make = _fs(spark, path)
-    limit, gone = as_of - datetime.timedelta(days=days), []
-    for status in fs.listStatus(at):
-        name = status.getPath().getName()
-        if name.startswith(f"{column}=") and datetime.date.fromisoformat(name.split("=", 1)[1]) < limit:
-            gone.append(name)
-            if not dry_run:
-                fs.delete(make(status.getPath().toString()), True)
+    """Drops partition folders column=YYYY-MM-DD, at any depth under a path, that are out of retention; other files are not read or rewritten. Returns their paths under it."""
+    files = Files(spark, path)
+    limit, gone, todo = as_of - datetime.timedelta(days=days), [], [""]
+    while todo:
+        at = todo.pop()
+        for name, is_folder, _ in files.names(at):
+            full = f"{at}/{name}".strip("/")
+            if not is_folder or name.startswith((".", "_")):
+                continue
+            if not name.startswith(f"{column}="):
+                todo.append(full)
+            elif re.fullmatch(r"\d{4}-\d{2}-\d{2}", value := name.split("=", 1)[1]) and datetime.date.fromisoformat(value) < limit:
+                gone.append(full)
+                if not dry_run:
+                    files.delete(full)
     return sorted(gone)
 
 
 def beyond_newest(rows: DataFrame, group: str, created: str, keep: int, cutoff: datetime.datetime) -> DataFrame:
-    """Rows to delete: not among the newest `keep` of their group and made before the cutoff. Ties keep either row."""
-    w = Window.partitionBy(group).orderBy(F.col(created).desc())
-    return rows.withColumn("_rn", F.row_number().over(w)).where((F.col("_rn") > keep) & (F.col(created) < F.lit(cutoff))).drop("_rn")
+    """Rows to delete: not among the newest `keep` of their group and made before the cutoff. Of rows made at the same time the least by their other columns are the newest.
+
+    The newest of each group are found first, in a limited window that each task applies before the shuffle, so a group of any size is not gathered.
+    """
+    others = [c for c in rows.columns if c not in (group, created)]
+    w = Window.partitionBy(group).orderBy(F.col(created).desc(), *others)
+    newest = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= keep)
+    last = newest.where(F.col("_rn") == keep).select(F.col(group).alias("_group"), F.struct(F.col(created), *others).alias("_last"))  # a row per group that has so many
+    beyond = (F.col(created) < F.col("_last")[created]) | (F.col(created) == F.col("_last")[created]) & (F.struct(*others) > F.struct(*[F.col("_last")[c] for c in others])) if others else F.col(created) < F.col("_last")[created]
+    return rows.where(F.col(created) < F.lit(cutoff)).join(last, F.col(group).eqNullSafe(F.col("_group"))).where(beyond).select(*rows.columns)
 
 
 def savepoints(paths: DataFrame, prefix: str) -> DataFrame:
@@ -87,43 +128,111 @@ def savepoints(paths: DataFrame, prefix: str) -> DataFrame:
 
 def table_stats(spark: SparkSession, path: str) -> dict:
     """Rows, files, bytes, and warnings for an empty table or one of too many files. Rows come from file footers."""
-    own = files(spark, path)
+    own = Files(spark, path).data()
     rows = spark.read.parquet(path).count() if own else 0
     warn = ["table is empty"] * (rows == 0) + ["over 1000 files"] * (len(own) > 1000)
     return {"rows": rows, "files": len(own), "bytes": sum(n for _, n in own), "warnings": warn}
 
 
+class Savepoints:
+    """Copies of a stopped query's checkpoint under <prefix>/<job>/<YYYY-MM-DD_HH-MM>: made, polled, rotated.
+
+    A trigger begins a copy on a thread and returns its id; poll() says how it stands. A copy is whole only once it has its
+    mark, and rotation counts whole ones alone.
+    """
+
+    MARK = "_SAVEPOINT"
+
+    def __init__(self, spark: SparkSession, prefix: str) -> None:
+        self.spark, self.files = spark, Files(spark, prefix)
+        self._pool, self._tasks = ThreadPoolExecutor(2), {}
+
+    def trigger(self, job: str, checkpoint: str, now: datetime.datetime | None = None) -> str:
+        """Begins a copy of the checkpoint folder; returns the copy's path under the prefix. The query should be between batches or stopped."""
+        name = f"{job}/{(now or datetime.datetime.now(datetime.UTC)):%Y-%m-%d_%H-%M}"
+        if name in self._tasks and not self._tasks[name].done() or self.files.exists(f"{name}/{self.MARK}"):
+            raise ValueError(f"{name} is there already")
+        self._tasks[name] = self._pool.submit(self._copy, checkpoint, name)
+        return name
+
+    def _copy(self, checkpoint: str, name: str) -> str:
+        hadoop, conf = self.spark.sparkContext._jvm.org.apache.hadoop, self.spark.sparkContext._jsc.hadoopConfiguration()
+        src, to = hadoop.fs.Path(checkpoint), self.files.path(name)
+        self.files.delete(name)  # of a trigger that failed
+        fs = to.getFileSystem(conf)
+        fs.mkdirs(to.getParent())
+        if not hadoop.fs.FileUtil.copy(src.getFileSystem(conf), src, fs, to, False, conf):
+            raise OSError(f"cannot copy {checkpoint}")
+        self.files.write(f"{name}/{self.MARK}", json.dumps({"checkpoint": checkpoint}))
+        return name
+
+    def poll(self, name: str) -> str:
+        """IN_PROGRESS, COMPLETED, FAILED or UNKNOWN."""
+        task = self._tasks.get(name)
+        if task is not None and not task.done():
+            return "IN_PROGRESS"
+        if self.files.exists(f"{name}/{self.MARK}"):
+            return "COMPLETED"
+        return "FAILED" if task is not None else "UNKNOWN"
+
+    def wait(self, name: str, seconds: float = 300, every: float = 0.1) -> str:
+        """Polls until the copy has ended; FAILED also if that takes longer."""
+        end = time.monotonic() + seconds
+        while (said := self.poll(name)) == "IN_PROGRESS":
+            if time.monotonic() > end:
+                return "FAILED"
+            time.sleep(every)
+        return said
+
+    def inventory(self) -> list[tuple[str, str, datetime.datetime]]:
+        """(path, job, made) of the whole ones, oldest first."""
+        out = []
+        for job, is_folder, _ in self.files.names():
+            for made, _, _ in self.files.names(job) if is_folder else []:
+                if re.fullmatch(r"\d{4}-\d{2}-\d{2}_\d{2}-\d{2}", made) and self.files.exists(f"{job}/{made}/{self.MARK}"):
+                    out.append((f"{job}/{made}", job, datetime.datetime.strptime(made, "%Y-%m-%d_%H-%M")))
+        return sorted(out, key=lambda x: (x[2], x[0]))
+
+    def rotate(self, now: datetime.datetime, days: float = 7, keep: int = 2, dry_run: bool = False) -> list[str]:
+        """Deletes savepoints older than so many days, but for each job's newest `keep`."""
+        by_job = defaultdict(list)
+        for path, job, made in self.inventory():
+            by_job[job].append((path, made))
+        old = [path for own in by_job.values() for path, made in (own[:-keep] if keep else own) if made < now - datetime.timedelta(days=days)]
+        for path in old if not dry_run else []:
+            self.files.delete(path)
+        return sorted(old)
+
+
 class SnapshotTable:
-    """A table as snapshot folders and a pointer by name order: a write makes a new snapshot, readers keep theirs."""
+    """One table as versions: a write makes a new one, readers keep theirs."""
+
+    TABLE = "rows"
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def snapshots(self) -> list[str]:
-        fs, at, _ = _fs(self.spark, self.path)
-        if not fs.exists(at):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(at)]
-        return sorted(n for n in names if n.startswith("snap-") and fs.exists(_fs(self.spark, f"{self.path}/{n}/_SUCCESS")[1]))
-
-    def commit(self, df: DataFrame) -> str:
-        last = self.snapshots()
-        name = f"snap-{int(last[-1].split('-')[1]) + 1 if last else 1:012d}"
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
-        return name
+        from tributary.streaming.store import Store
+
+        self.store = Store(spark, path)
+
+    def snapshots(self) -> list[int]:
+        return self.store.versions()
 
-    def read(self, snapshot: str | None = None) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{snapshot or self.snapshots()[-1]}")
+    def commit(self, df: DataFrame) -> int:
+        """df in the place of all rows."""
+        old = [e["path"] for e in self.store.state()["tables"].get(self.TABLE, [])]
+        return self.store.replace(df, self.TABLE, old)
 
-    def upsert(self, rows: DataFrame, key: tuple[str, ...] = ("event_id",)) -> str:
+    def read(self, snapshot: int | None = None) -> DataFrame:
+        return self.store.read(self.TABLE, snapshot)
+
+    def upsert(self, rows: DataFrame, key: tuple[str, ...] = ("event_id",)) -> int:
         from tributary.operators.dedup import upsert
 
         return self.commit(upsert(self.read(), rows, key) if self.snapshots() else rows.dropDuplicates(list(key)))
 
-    def expire(self, keep: int = 1, dry_run: bool = False) -> list[str]:
-        """Deletes all but the newest snapshots."""
-        old = self.snapshots()[: -max(1, keep)]
-        for name in old if not dry_run else []:
-            fs, at, _ = _fs(self.spark, f"{self.path}/{name}")
-            fs.delete(at, True)
-        return old
+    def expire(self, days: float = 7, keep: int = 1, now: float | None = None, dry_run: bool = False) -> dict:
+        """Deletes snapshots older than so many days, but for the newest `keep`."""
+        return self.store.expire(now, days, keep, dry_run)
+
+    def stats(self, now: float | None = None) -> dict:
+        return self.store.stats(self.TABLE, now)
