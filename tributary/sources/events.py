@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import datetime
+import struct
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.functions.scratch import stage
+from tributary.functions.ship import ship
 from tributary.schema import EVENT
 
 #: Names that the adapter deals out.
@@ -23,9 +28,12 @@ def _nth(names: tuple[str, ...], place) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), (place + 1).cast("int"))
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's events as raw clickstream events; every tenth is sent again a minute later."""
-    e = table(spark, sf_dir, "events").withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("bigint"))
+def raw_events(spark: SparkSession, sf_dir: str, since: datetime.datetime | None = None) -> DataFrame:
+    """The driver's events as raw clickstream events; every tenth is sent again a minute later. since: the least time of what is read, which the scan is told."""
+    e = table(spark, sf_dir, "events")
+    if since is not None:
+        e = e.where(F.col("ts") >= F.lit(since - datetime.timedelta(minutes=1)).cast("timestamp_ntz"))
+    e = e.withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("bigint"))
     i, k = F.col("event_id"), F.col("k")
     kind = (
         F.when(F.col("event_type") == "view", F.when(i % 5 == 0, "WISHLIST").otherwise("VIEW"))
@@ -54,7 +62,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(pays, _nth(PAYMENT_MODES, i % 7)).alias("payment_mode"),
     )
     again = base.where(F.col("event_id").cast("bigint") % 10 == 0).withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 MINUTE"))
-    return base.unionByName(again)
+    every = base.unionByName(again)
+    return every if since is None else every.where(F.col("event_time") >= F.lit(since))
 
 
 def as_of(spark: SparkSession, sf_dir: str) -> datetime.datetime:
@@ -78,21 +87,176 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str =
         raise RuntimeError("the Kafka connector (spark-sql-kafka) is not on the class path") from e
 
 
-def decode(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(events, errors) of JSON messages, also where they are framed by a zero byte and a 4-byte schema id.
+#: The record that the bytes of a message are of where they are not JSON: fields in order; ? may be null.
+AVRO_FIELDS = (
+    ("event_id", "string"), ("session_id", "string"), ("event_time", "millis"), ("event_type", "enum"), ("device", "string"), ("ip", "string"), ("user_id", "string?"), ("product_id", "string?"),
+    ("category", "string?"), ("quantity", "int?"), ("price", "double?"), ("payment_mode", "string?"),
+)
+#: The event types, as they are numbered in such messages.
+AVRO_SYMBOLS = ("VIEW", "ADD_TO_CART", "REMOVE_CART", "WISHLIST", "ORDER_CREATED", "PAYMENT_SUCCESS", "PAYMENT_FAILED", "ORDER_CANCELLED", "REFUND")
 
-    What cannot be read is an error row (captured_at, error, raw_message); nothing is lost.
+
+def _number(data: bytes, at: int) -> tuple[int, int]:
+    """A zigzag number of variable length, and where it ends."""
+    shift = value = 0
+    while True:
+        byte = data[at]
+        value |= (byte & 0x7F) << shift
+        at += 1
+        if byte < 0x80:
+            return (value >> 1) ^ -(value & 1), at
+        shift += 7
+        if shift > 63:
+            raise ValueError("number too long")
+
+
+def read_avro(data: bytes, at: int = 0, fields=AVRO_FIELDS, symbols=AVRO_SYMBOLS) -> list:
+    """The values of one flat record. Raises an error if the bytes are no such record, or more than one."""
+    out = []
+    for name, kind in fields:
+        if kind.endswith("?"):
+            branch, at = _number(data, at)
+            if branch not in (0, 1):
+                raise ValueError(f"{name}: no branch {branch}")
+            if branch == 0:
+                out.append(None)
+                continue
+            kind = kind[:-1]
+        if kind == "double":
+            out.append(struct.unpack_from("<d", data, at)[0])
+            at += 8
+            continue
+        n, at = _number(data, at)
+        if kind == "string":
+            if n < 0 or at + n > len(data):
+                raise ValueError(f"{name}: {n} bytes at {at} of {len(data)}")
+            out.append(data[at : at + n].decode())
+            at += n
+        elif kind == "enum":
+            if not 0 <= n < len(symbols):
+                raise ValueError(f"{name}: no symbol {n}")
+            out.append(symbols[n])
+        else:
+            out.append(n)
+    if at != len(data):
+        raise ValueError(f"{len(data) - at} bytes too many")
+    return out
+
+
+def write_avro(values: list, fields=AVRO_FIELDS, symbols=AVRO_SYMBOLS) -> bytes:
+    """The bytes that read_avro() reads."""
+    out = bytearray()
+
+    def number(n: int) -> None:
+        n = (n << 1) ^ (n >> 63)
+        while n > 0x7F:
+            out.append(n & 0x7F | 0x80)
+            n >>= 7
+        out.append(n)
+
+    for (_, kind), v in zip(fields, values, strict=True):
+        if kind.endswith("?"):
+            number(int(v is not None))
+            if v is None:
+                continue
+            kind = kind[:-1]
+        if kind == "double":
+            out += struct.pack("<d", v)
+        elif kind == "string":
+            number(len(v.encode()))
+            out += v.encode()
+        else:
+            number(symbols.index(v) if kind == "enum" else v)
+    return bytes(out)
+
+
+_DECODED = ", ".join(f"{name} {'bigint' if kind == 'millis' else 'string' if kind in ('string', 'enum', 'string?') else kind.rstrip('?')}" for name, kind in AVRO_FIELDS) + ", error string, raw_message string, json string"
+
+
+def _decoded(schemas: dict[int, tuple] | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [name for name, _ in AVRO_FIELDS]
+        empty = [None] * len(names)
+        kinds = [pa.int64() if k == "millis" else pa.float64() if k.startswith("double") else pa.int32() if k.startswith("int") else pa.string() for _, k in AVRO_FIELDS]
+        for b in batches:
+            rows = []
+            for v in b["value"].to_pylist():
+                if v is None or len(v) < 5 or v[0] != 0:
+                    rows.append([*empty, None, None, None if v is None else v.decode("utf-8", "replace")])
+                    continue
+                number = int.from_bytes(v[1:5], "big")
+                if v[5:6] == b"{":  # JSON within a frame
+                    rows.append([*empty, None, None, v[5:].decode("utf-8", "replace")])
+                    continue
+                try:
+                    if schemas is not None and number not in schemas:
+                        raise ValueError(f"no schema {number}")
+                    fields = AVRO_FIELDS if schemas is None else schemas[number]
+                    got = dict(zip([n for n, _ in fields], read_avro(v, 5, fields), strict=True))
+                    rows.append([*[got.get(n) for n in names], None, None, None])
+                except (ValueError, IndexError, struct.error) as e:
+                    rows.append([*empty, f"cannot be decoded: {e}", v.hex(), None])
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * (len(names) + 3)
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, [*kinds, *[pa.string()] * 3], strict=True)], [*names, "error", "raw_message", "json"])
+
+    return run
+
+
+def decode(messages: DataFrame, value: str = "value", schemas: dict[int, tuple] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(events, errors) of messages: records framed by a zero byte and a 4-byte schema number, or JSON, framed or not.
+
+    schemas: the fields by schema number, as AVRO_FIELDS has them for all numbers otherwise; columns are taken by name, those
+    that a schema does not have are null. What cannot be read is an error row (captured_at, error, raw_message, in hex if it is
+    no text); nothing is lost. Messages go to Python in Arrow batches.
     """
-    v = F.col(value).cast("binary")
-    framed = F.hex(F.substring(v, 1, 1)) == "00"
-    text = F.when(framed, F.substring(v, 6, 1 << 30)).otherwise(v).cast("string")
+    ship(messages.sparkSession)
+    read = messages.select(F.col(value).cast("binary").alias("value")).mapInArrow(_decoded(schemas), _DECODED)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENT) + ", _corrupt string"
-    parsed = messages.select(text.alias("raw_message"), F.from_json(text, fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("e"))
-    bad = F.col("e").isNull() | F.col("e._corrupt").isNotNull()
-    errors = parsed.where(bad).select(F.current_timestamp().alias("captured_at"), F.lit("cannot be decoded").alias("error"), "raw_message")
-    return parsed.where(~bad).select(*[F.col(f"e.{f.name}") for f in EVENT]), errors
+    parsed = read.withColumn("e", F.from_json("json", fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    is_json = F.col("json").isNotNull()
+    bad = F.col("error").isNotNull() | (is_json & (F.col("e").isNull() | F.col("e._corrupt").isNotNull())) | (~is_json & F.col("event_id").isNull())
+    own = {f.name: F.timestamp_millis(f.name) if f.name == "event_time" else F.col(f.name) for f in EVENT}
+    events = parsed.where(~bad).select(*[F.when(is_json, F.col(f"e.{name}")).otherwise(c).alias(name) for name, c in own.items()])
+    errors = parsed.where(bad).select(F.current_timestamp().alias("captured_at"), F.coalesce("error", F.lit("cannot be decoded")).alias("error"), F.coalesce("raw_message", "json", F.lit("")).alias("raw_message"))
+    return events, errors
+
+
+def store_errors(store, errors: DataFrame) -> int:
+    """Appends decode errors to their table, which is partitioned by month; months go as a whole (purge_errors)."""
+    return store.append(errors.withColumn("month", F.date_format("captured_at", "yyyy-MM")), "decode_errors", "month")
+
+
+def purge_errors(store, as_of: datetime.date, days: int = 30, dry_run: bool = False) -> list[str]:
+    """Drops the months of decode errors whose last day is out of retention."""
+    limit, gone = as_of - datetime.timedelta(days=days), []
+    for e in store.state()["tables"].get("decode_errors", []):
+        year, month = map(int, e["partition"].split("-"))
+        last = datetime.date(year + month // 12, month % 12 + 1, 1) - datetime.timedelta(days=1)
+        if last < limit:
+            gone.append(e)
+    if gone and not dry_run:
+        store.commit(remove={"decode_errors": [e["path"] for e in gone]})
+    return sorted({e["partition"] for e in gone})
+
+
+def decode_table(spark: SparkSession, path: str, schema: str, blanks: dict[str, object] | None = None, **options: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, malformed lines) of typed CSV without inference. blanks: by column, what a blank stands for."""
+    rows = spark.read.csv(path, schema=f"{schema}, _corrupt string", header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", **options)
+    rows = stage(rows, "csv")  # whether a line fits depends on which columns are asked for, so it is read once
+    names = [c for c in rows.columns if c != "_corrupt"]
+    good = rows.where(F.col("_corrupt").isNull()).select(*names)
+    return good.fillna(blanks) if blanks else good, rows.where(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("line"))
+
+
+#: The columns of a load test's metrics; blanks are 0, but for the lag, where they are -1 (not known).
+METRICS = (
+    "ts string, phase string, elapsed_sec double, target_rate int, produced_total bigint, consumed_total bigint, actual_produce_rate double, actual_consume_rate double, kafka_lag bigint, "
+    "latency_p50_ms double, latency_p95_ms double, latency_p99_ms double, latency_max_ms double, latency_samples bigint, checkpoint_duration_ms bigint, checkpoint_size_mb double, checkpoint_count bigint, "
+    "flink_jm_cpu_pct double, flink_jm_mem_mb double, flink_tm1_cpu_pct double, flink_tm1_mem_mb double, kafka1_cpu_pct double, kafka1_mem_mb double, flink_job_status string, errors bigint"
+)
 
 
-def decode_table(spark: SparkSession, path: str, schema: str, **options: str) -> DataFrame:
-    """Typed CSV without inference; rows that do not fit are skipped."""
-    return spark.read.csv(path, schema=schema, header=True, mode="DROPMALFORMED", **options)
+def metrics_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(metrics of a load test, malformed lines)."""
+    numbers = [f.split(" ")[0] for f in METRICS.split(", ") if not f.endswith("string")]
+    return decode_table(spark, path, METRICS, {n: -1 if n == "kafka_lag" else 0 for n in numbers} | {"flink_job_status": ""})
