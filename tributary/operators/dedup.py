@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def first_per_id(events: DataFrame, key: str = "event_id", order: str = "event_time") -> DataFrame:
-    """The earliest row of each id; rows without an id all stay. The same as first_seen() where repeats lie within one time to live."""
-    w = Window.partitionBy(key).orderBy(order)
+    """The earliest row of each id (of several, the one whose columns have the least hash); rows without an id all stay. The same as first_seen() where repeats lie within one time to live."""
+    w = Window.partitionBy(key).orderBy(order, F.xxhash64(*events.columns))
     keyed = events.where(F.col(key).isNotNull()).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     return keyed.unionByName(events.where(F.col(key).isNull()))
 
@@ -16,31 +16,40 @@ def first_per_id(events: DataFrame, key: str = "event_id", order: str = "event_t
 def first_seen(events: DataFrame, ttl_hours: float = 2, extend_on_duplicate: bool = False, key: str = "event_id", order: str = "event_time") -> DataFrame:
     """Rows that are not within `ttl_hours` of the last row kept of their id (of the last row at all with extend_on_duplicate).
 
-    Times of an id are folded in order as one array of numbers; rows are then matched to the kept times. Repeats at the same
-    time count once. Rows without an id all stay.
+    An id whose rows all lie within the time keeps its first: that settles nearly all of them by a least and a greatest, which
+    are combined before the shuffle. Times of the others are cut where the gap to the one before is no shorter than the time
+    to live, since a row after such a gap is kept whatever came before; only the stretches between are folded, as arrays.
+    Repeats at the same time count once. Rows without an id all stay.
     """
     if ttl_hours <= 0:
         raise ValueError("windowHours must be positive")
     ttl = int(ttl_hours * 3_600_000_000)
     at = F.unix_micros(order)
     keyed = events.where(F.col(key).isNotNull())
+    others = events.where(F.col(key).isNull())
+    gap = F.col("_at") - F.lag("_at").over(Window.partitionBy(key).orderBy("_at"))
     if extend_on_duplicate:
-        gap = at - F.lag(at).over(Window.partitionBy(key).orderBy(order))
-        kept = keyed.withColumn("_gap", gap).where(F.col("_gap").isNull() | (F.col("_gap") >= ttl)).drop("_gap")
-        return kept.unionByName(events.where(F.col(key).isNull()))
+        kept = keyed.withColumn("_at", at).withColumn("_gap", gap).where(F.col("_gap").isNull() | (F.col("_gap") >= ttl)).drop("_at", "_gap")
+        return kept.unionByName(others)
 
     def step(seen: Column, t: Column) -> Column:
         return F.when((F.size(seen) == 0) | (t - F.element_at(seen, -1) >= ttl), F.concat(seen, F.array(t))).otherwise(seen)
 
-    times = keyed.groupBy(key).agg(F.array_sort(F.collect_set(at)).alias("_times"))
-    kept = times.select(key, F.explode(F.aggregate("_times", F.array().cast("array<bigint>"), step)).alias("_at"))
-    one = keyed.withColumn("_at", at).withColumn("_rn", F.row_number().over(Window.partitionBy(key, order).orderBy(order))).where("_rn = 1").drop("_rn")
-    return one.join(kept, [key, "_at"], "left_semi").select(*events.columns).unionByName(events.where(F.col(key).isNull()))
+    bounds = keyed.groupBy(key).agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
+    once = bounds.where(F.col("_last") - F.col("_first") < ttl).select(key, F.col("_first").alias("_at"))
+    long = bounds.where(F.col("_last") - F.col("_first") >= ttl).select(key)
+    times = keyed.select(key, at.alias("_at")).join(long, key, "left_semi").distinct().withColumn("_gap", gap)
+    begins = F.col("_gap").isNull() | (F.col("_gap") >= ttl)
+    times = times.withColumn("_stretch", F.max(F.when(begins, F.col("_at"))).over(Window.partitionBy(key).orderBy("_at")))
+    folded = times.groupBy(key, "_stretch").agg(F.array_sort(F.collect_list("_at")).alias("_times"))
+    kept = folded.select(key, F.explode(F.aggregate("_times", F.array().cast("array<bigint>"), step)).alias("_at")).unionByName(once)
+    one = keyed.withColumn("_at", at).withColumn("_rn", F.row_number().over(Window.partitionBy(key, "_at").orderBy(F.xxhash64(*events.columns)))).where("_rn = 1").drop("_rn")
+    return one.join(kept, [key, "_at"], "left_semi").select(*events.columns).unionByName(others)
 
 
 def latest_version(rows: DataFrame, key: tuple[str, ...] = ("event_type", "category", "event_time", "event_id"), version: str = "ingest_ts") -> DataFrame:
-    """The row with the latest version of each key; a null is a key like any other."""
-    w = Window.partitionBy(*key).orderBy(F.col(version).desc())
+    """The row with the latest version of each key (of several, the one whose columns have the least hash); a null is a key like any other."""
+    w = Window.partitionBy(*key).orderBy(F.col(version).desc(), F.xxhash64(*rows.columns))
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 

@@ -72,7 +72,9 @@ def parse(lines: DataFrame) -> DataFrame:
         "ts": ts, "level": level(F.col("level")), "failed": failed, "text": body,
         "task": found(F.col("thread"), thread, 1), "subtask": found(F.col("thread"), thread, 2).cast("int"), "parallelism": found(F.col("thread"), thread, 3).cast("int"),
         "job_id": found(body, r"(?i)\bjob ([0-9a-f]{32})\b"), "checkpoint_id": found(body, r"(?i)\bcheckpoint (\d+)").cast("bigint"), "watermark": found(body, r"(?i)\bwatermark (-?\d+)").cast("bigint"),
-        "topic_partition": found(body, r"\b([\w.-]+-\d+)\b"), "leader_id": found(body, r"leaderId=(\d+)").cast("int"), "database_table": found(body, r"\b([a-z_]\w*\.[a-z_]\w*)\b"),
+        "topic_partition": found(body, r"\b([\w.-]+-\d+)\b"), "leader_id": found(body, r"(?i)leader\.?id\s*[=:]\s*(\d+)").cast("int"),
+        "topic": F.coalesce(found(body, r"(?i)\btopic ([\w.-]+)"), found(body, r"\b([A-Za-z][\w.-]*)-\d+\b")), "partition": F.coalesce(found(body, r"(?i)\bpartition (\d+)"), found(body, r"\b[A-Za-z][\w.-]*-(\d+)\b")).cast("int"),
+        "offset": found(body, r"(?i)\b(?:high.?watermark|lastStableOffset|LSO)\s*[=:]\s*(\d+)").cast("bigint"), "isr": found(body, r"(?i)\bISR\b[^\d]*([0-9]+(?:, ?[0-9]+)*)"), "task_name": found(body, r"(?i)\btask '([^']{3,64})'"), "database_table": found(body, r"\b([a-z_]\w*\.[a-z_]\w*)\b"),
         "elapsed_ms": F.round(found(body, r"\bin ([0-9.]+) sec").try_cast("double") * 1000).cast("bigint"), "rows": found(body, r"(?i)\b(\d+) rows").cast("bigint"),
     })
     own = F.col("service")
@@ -92,7 +94,7 @@ def parse(lines: DataFrame) -> DataFrame:
         "stack_trace": m.rlike(r"(?m)^\s+at [\w.$]+\(|Exception"),
     }
     out = out.withColumn("tags", F.array_compact(F.array(*[F.when(cond, name) for name, cond in tags.items()])))
-    return out.select("container", "service", "role", "is_json", "ts", "level", "thread", "logger", "text", "task", "subtask", "parallelism", "job_id", "checkpoint_id", "watermark", "topic_partition", "leader_id", "database_table", "elapsed_ms", "rows", "tags")
+    return out.select("container", "service", "role", "is_json", "ts", "level", "thread", "logger", "text", "task", "subtask", "parallelism", "job_id", "checkpoint_id", "watermark", "topic_partition", "leader_id", "topic", "partition", "offset", "isr", "task_name", "database_table", "elapsed_ms", "rows", "tags")
 
 
 #: Alerts by name: metric and limit.
@@ -122,3 +124,9 @@ def sustained(points: DataFrame, value: str, limit: float, minutes: int = 5) ->
 def frequent(points: DataFrame, condition: Column, times: int = 3, minutes: int = 5) -> DataFrame:
     """Tumbling windows in which a condition holds at least so often, as checkpoint failures do."""
     return points.where(condition).groupBy(F.window("ts", f"{minutes} minutes")["start"].alias("window_start")).agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") >= times)
+
+
+def dead_letter_rate(judged: DataFrame, time: str = "event_time", limit: float = 0.01, minutes: int = 5) -> DataFrame:
+    """Tumbling windows in which more than `limit` of the judged events (with their `reason`) are rejected."""
+    g = judged.groupBy(F.window(time, f"{minutes} minutes")["start"].alias("window_start")).agg(F.count(F.lit(1)).alias("events"), F.count("reason").alias("rejected"))
+    return g.where(F.col("rejected") > F.col("events") * limit)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tributary.functions.scratch import stage
+
 #: Service levels by name: phase, measure, whether it is to be above or below, and the target.
 SLOS = (
     ("warmup_p99", "warmup", "latency_p99_mean", "below", 500.0),
@@ -19,15 +24,27 @@ SLOS = (
 )
 
 
-def indexed_percentiles(rows: DataFrame, group: list[str], value: str, shares: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
-    """The value at place floor(n p) (from 0, the last at most) of each group's sorted values.
+def _placed(rows: DataFrame, order: list[str]) -> DataFrame:
+    """rows in a total order over range partitions, staged, with _id: the partition's number (from bit 33 on) and the place in it."""
+    return stage(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "placed")
+
+
+def indexed_percentiles(rows: DataFrame, group: list[str], value: str, shares: tuple[float, ...] = (50, 95, 99)) -> DataFrame:
+    """The value at place floor(n p / 100) (from 0, the last at most) of each group's sorted values.
 
-    Places come from a sort within the group rather than from one array per group.
+    Values are sorted over all tasks, whatever their groups; a group's places are found from how many of its values each
+    partition holds, and only the rows at these places are looked up.
     """
+    placed = _placed(rows.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v")), [*group, "_v"])
+    held = placed.groupBy(*group, F.shiftright("_id", 33).alias("_part")).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group)
-    placed = rows.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"), (F.row_number().over(w.orderBy(value)) - 1).alias("_at"), F.count(F.lit(1)).over(w).alias("_n"))
-    at = lambda p: F.least(F.floor(F.col("_n") * F.lit(p)), F.col("_n") - 1)
-    return placed.groupBy(*group).agg(F.count(F.lit(1)).alias("samples"), *[F.max(F.when(F.col("_at") == at(p), F.col("_v"))).alias(f"p{p * 100:g}") for p in shares])
+    before = F.coalesce(F.sum("_n").over(w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    held = held.withColumn("_before", before).withColumn("samples", F.sum("_n").over(w))  # a row per group and partition that it is in
+    asked = held.withColumn("_share", F.explode(F.array(*[F.lit(float(p)) for p in shares])))
+    asked = asked.withColumn("_at", F.least(F.floor(F.col("samples") * F.col("_share") / 100), F.col("samples") - 1))
+    asked = asked.where("_before <= _at and _at < _before + _n").select((F.col("_first") + F.col("_at") - F.col("_before")).alias("_id"), "_share", "samples")
+    found = placed.join(asked, "_id")
+    return found.groupBy(*group).agg(F.first("samples").alias("samples"), *[F.max(F.when(F.col("_share") == float(p), F.col("_v"))).alias(f"p{p:g}") for p in shares])
 
 
 def positive_mean(c: str) -> Column:
@@ -36,24 +53,40 @@ def positive_mean(c: str) -> Column:
 
 
 def rates(rows: DataFrame, counter: str, time: str, partition: list[str]) -> DataFrame:
-    """Growth of a counter per second since the row before."""
-    w = Window.partitionBy(*partition).orderBy(time)
-    seconds = (F.unix_micros(time) - F.lag(F.unix_micros(time)).over(w)) / 1e6
-    grown = F.col(counter) - F.lag(counter).over(w)
-    return rows.withColumn("rate", grown / F.nullif(seconds, F.lit(0.0)))
+    """Growth of a counter per second since the row before.
+
+    Rows are sorted over all tasks; the row before is looked for within a partition, and at its edge among the last rows of
+    those before, so a series of any length is not one task's.
+    """
+    placed = _placed(rows, [*partition, time, counter]).withColumn("_part", F.shiftright("_id", 33))
+    now = F.struct(F.col(time).alias("t"), F.col(counter).alias("c"))
+    last = placed.groupBy(*partition, "_part").agg(F.max_by(now, "_id").alias("_now"))
+    edge = last.select(*partition, "_part", F.lag("_now").over(Window.partitionBy(*partition).orderBy("_part")).alias("_edge"))
+    before = F.coalesce(F.lag(now).over(Window.partitionBy(*partition, "_part").orderBy("_id")), F.col("_edge"))
+    own = placed.join(edge.withColumnsRenamed({c: f"_{c}_of" for c in [*partition, "_part"]}), reduce(and_, [placed[c].eqNullSafe(F.col(f"_{c}_of")) for c in [*partition, "_part"]]))
+    own = own.withColumn("_before", before)
+    seconds = (F.unix_micros(time) - F.unix_micros(F.col("_before.t"))) / 1e6
+    return own.withColumn("rate", (F.col(counter) - F.col("_before.c")) / F.nullif(seconds, F.lit(0.0))).select(*rows.columns, "rate")
+
+
+#: Measures that are means of what is over zero, by the column that they are of.
+MEANS = {
+    "produce_rate_mean": "actual_produce_rate", "consume_rate_mean": "actual_consume_rate", "latency_p50_mean": "latency_p50_ms", "latency_p95_mean": "latency_p95_ms", "latency_p99_mean": "latency_p99_ms",
+    "lag_mean": "kafka_lag", "checkpoint_mean_ms": "checkpoint_duration_ms", "checkpoint_size_mean_mb": "checkpoint_size_mb", "coordinator_cpu_mean": "flink_jm_cpu_pct", "coordinator_memory_mean_mb": "flink_jm_mem_mb",
+    "worker_cpu_mean": "flink_tm1_cpu_pct", "worker_memory_mean_mb": "flink_tm1_mem_mb", "broker_cpu_mean": "kafka1_cpu_pct", "broker_memory_mean_mb": "kafka1_mem_mb",
+}
 
 
 def phase_stats(metrics: DataFrame) -> DataFrame:
-    """A row per phase. The error counter is cumulative, so errors are its growth."""
-    m = lambda c: positive_mean(c)
+    """A row per phase. Each row of metrics tells how many errors it saw, so they are summed; a mean or maximum of nothing is null, not 0."""
     top = lambda c: F.max(F.when(F.col(c) >= 0, F.col(c)))
-    return metrics.groupBy("phase").agg(
-        F.count(F.lit(1)).alias("rows"), m("actual_produce_rate").alias("produce_rate_mean"), m("actual_consume_rate").alias("consume_rate_mean"), top("actual_produce_rate").alias("produce_rate_max"),
-        m("latency_p50_ms").alias("latency_p50_mean"), m("latency_p95_ms").alias("latency_p95_mean"), m("latency_p99_ms").alias("latency_p99_mean"), top("latency_max_ms").alias("latency_max"),
-        F.sum("latency_samples").alias("latency_samples"), m("kafka_lag").alias("lag_mean"), top("kafka_lag").alias("lag_max"), m("checkpoint_duration_ms").alias("checkpoint_mean_ms"),
-        top("checkpoint_duration_ms").alias("checkpoint_max_ms"), (F.max("errors") - F.min("errors")).alias("errors"),
+    stats = metrics.groupBy("phase").agg(
+        F.min("target_rate").alias("target_rate"), F.count(F.lit(1)).alias("rows"), *[positive_mean(c).alias(name) for name, c in MEANS.items()], top("actual_produce_rate").alias("produce_rate_max"),
+        top("latency_max_ms").alias("latency_max"), F.sum("latency_samples").alias("latency_samples"), top("kafka_lag").alias("lag_max"), top("checkpoint_duration_ms").alias("checkpoint_max_ms"), F.sum("errors").alias("errors"),
         F.max(F.regexp_extract("flink_job_status", r"RECOVERED_IN_([0-9.]+)s", 1).try_cast("double")).alias("recovery_s"),
     )
+    p95 = indexed_percentiles(metrics.where("actual_produce_rate > 0"), ["phase"], "actual_produce_rate", (95,)).select(F.col("phase").alias("_phase"), F.col("p95").alias("produce_rate_p95"))
+    return stats.join(p95, F.col("phase").eqNullSafe(F.col("_phase")), "left").drop("_phase")
 
 
 def evaluate(stats: DataFrame, slos=SLOS) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.functions.scratch import stage
 from tributary.schema import DEVICES, EVENT_TYPES
 
 
@@ -56,8 +58,43 @@ def suite(events: DataFrame, now: datetime.datetime) -> DataFrame:
     return out.select("place", "expectation", "column", "evaluated", "passed", success.alias("success")).orderBy("place")
 
 
-def publish(result: DataFrame, table: str, ts: str, most_failures: int = 10) -> dict:
-    """The suite's verdict, ready to be written as JSON or sent as an alert; result has a row per expectation."""
+#: Hours back that the suite looks, and rows that it looks at.
+LOOKBACK_HOURS = 1
+SAMPLE_ROWS = 10_000
+
+
+def recent_sample(events: DataFrame, now: datetime.datetime, hours: float = LOOKBACK_HOURS, most: int = SAMPLE_ROWS) -> DataFrame:
+    """The sample that the suite is run on: at most so many events of the last hours, evenly spaced by time and id."""
+    return every_nth(events.where(F.col("event_time") >= F.lit(now) - F.expr(f"INTERVAL {int(hours * 3600)} SECONDS")), most, ["event_time", "event_id"])
+
+
+class QualityError(RuntimeError):
+    """The suite has failed, and was to fail its run."""
+
+
+def publish(result: DataFrame, table: str, ts: str, most_failures: int = 10, write: Callable[[dict], str] | None = None, alert: Callable[[str], None] | None = None, fail: bool = False) -> dict:
+    """The suite's verdict, ready to be written as JSON or sent as an alert; result has a row per expectation.
+
+    write stores the verdict and returns where (that it cannot is no failure of the suite); alert is sent a message if the
+    suite has failed; with fail, QualityError is raised then, after both.
+    """
+    verdict = _verdict(result, table, ts, most_failures)
+    if write is not None:
+        try:
+            verdict["stored"] = write(verdict)
+        except Exception as e:
+            verdict["stored"] = None
+            verdict["store_error"] = str(e)[:500]
+    if not verdict["suite_passed"]:
+        said = f"quality suite failed on {table}: {verdict['failed']} of {verdict['expectations']} expectations, {verdict['row_count']} rows"
+        if alert is not None:
+            alert("\n".join([said, *[f"{d['expectation']} on {d['column']}: {d['result']}" for d in verdict["failed_details"]]]))
+        if fail:
+            raise QualityError(said)
+    return verdict
+
+
+def _verdict(result: DataFrame, table: str, ts: str, most_failures: int) -> dict:
     rows = result.collect()
     failed = [r for r in rows if not r["success"]]
     return {
@@ -76,7 +113,8 @@ def every_nth(rows: DataFrame, most: int, order: list[str]) -> DataFrame:
 
     Rows are numbered by range partitions and offsets, not by one task.
     """
-    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).persist()
+    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    parts = stage(parts, "placed")
     part = F.shiftright("_id", 33)
     sizes = parts.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
