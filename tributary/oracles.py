@@ -66,10 +66,10 @@ FUNNEL = f"""select *, {R2.format('carts::double / nullif(views, 0) * 100.0')} a
     {CENTS.format("sum(case when event_type = 'PAYMENT_SUCCESS' then coalesce(price, 0) * coalesce(quantity, 0) else 0.0 end)")} as revenue from stored group by 1, 2)"""
 
 
-def funnel(column: str, hours: int) -> str:
+def funnel(column: str, hours: int, sort: str = "views") -> str:
     return f"""select *, {R4.format('payments::double / nullif(views, 0)')} as conversion_rate from (select {column}, count(*) filter (event_type = 'VIEW') as views, count(*) filter (event_type = 'ADD_TO_CART') as carts,
     count(*) filter (event_type = 'ORDER_CREATED') as orders, count(*) filter (event_type = 'PAYMENT_SUCCESS') as payments from stored, now where event_time >= t - interval {hours} hour group by 1)
-    order by views desc, {column} asc nulls last limit 20"""
+    order by {sort} desc nulls last, {column} asc nulls last limit 20"""
 
 
 LABEL = "coalesce(category, '(uncategorised)')"
@@ -86,6 +86,9 @@ _EVENT_QUERIES = {
     "kpi_1min": KPI,
     "kpi_1min_merge_equivalence": KPI,
     "funnel_5min": FUNNEL,
+    "funnel_backfill": FUNNEL.replace("from stored group", "from (select * exclude (rn) from (select *, row_number() over (partition by event_type, category, event_id order by event_time desc) as rn from normal where reason is null) where rn = 1) group"),
+    "rollup_hll_error": "select category, count(distinct user_id) as users, true as within_bound from stored group by 1",
+    "dlq_rate_alerts": "select * from (select date_trunc('day', event_time) as window_start, count(*) as events, count(reason) as rejected from tagged group by 1) where rejected > events * 0.01::double",
     "kpi_latest": f"select k.* from ({KPI}) k, now where window_start >= date_trunc('minute', t) - interval 1 hour order by window_start desc, total_revenue desc, event_type, category asc nulls last limit 50",
     "funnel_latest": f"select f.* from ({FUNNEL}) f, now where window_start >= t - interval 6 hour",
     "kpi_backfill": f"""select event_type, count(*) as events, sum(coalesce(quantity, 0)::double) as total_qty, {CENTS.format('sum(coalesce(price, 0) * coalesce(quantity, 0))')} as total_revenue from stored group by 1""",
@@ -121,6 +124,7 @@ _EVENT_QUERIES = {
         select coalesce({CENTS.format("sum(price) filter (event_type = 'PAYMENT_SUCCESS')")}, 0.0) as revenue, count(distinct event_id) filter (event_type = 'PAYMENT_SUCCESS') as orders, count(distinct user_id) as active_users,
         count(distinct user_id) filter (event_type = 'PAYMENT_SUCCESS') as payers, count(distinct user_id) filter (event_type = 'ADD_TO_CART') as carters from stored, now where event_time >= t - interval 24 hour)""",
     "funnel_by_category": funnel("category", 720),
+    "funnel_by_conversion": funnel("category", 720, "conversion_rate"),
     "funnel_by_event_type": funnel("event_type", 168),
     "global_funnel": f"""select *, coalesce({div('carts', 'views')}, 0.0) as cart_rate, coalesce({div('orders', 'carts')}, 0.0) as order_rate, coalesce({div('payments', 'orders')}, 0.0) as payment_rate, coalesce({div('payments', 'views')}, 0.0) as overall_rate
         from (select cast(sum(views) as bigint) as views, cast(sum(carts) as bigint) as carts, cast(sum(orders) as bigint) as orders, cast(sum(payments) as bigint) as payments from ({funnel('category', 720)}))""",
@@ -158,7 +162,14 @@ _EVENT_QUERIES["dq_suite"] = " union all ".join(
 
 _PHASE = "case event_type when 'signup' then 'warmup' when 'error' then 'steady_low' when 'click' then 'steady_mid' when 'view' then 'steady_high' else 'recovery' end"
 _METRICS = f"(select {_PHASE} as phase, ts, event_id, value, case when event_id % 50 = 0 then -1 else event_id % 1000 end as lag, case when event_id % 100 = 0 then (event_id % 80)::double end as recovered from events)"
-_LOGS = """(select event_id, ts, case event_id % 3 when 0 then 'stream' when 1 then 'broker' else 'store' end as service, event_id % 11 = 0 as bad from events)"""
+_MEANS = {
+    "produce_rate_mean": "value * 100", "consume_rate_mean": "value * 90", "latency_p50_mean": "value", "latency_p95_mean": "value * 2", "latency_p99_mean": "value * 3", "lag_mean": "lag", "checkpoint_mean_ms": "(event_id % 5000)",
+    "checkpoint_size_mean_mb": "(event_id % 64)", "coordinator_cpu_mean": "(event_id % 90)", "coordinator_memory_mean_mb": "(event_id % 2048)", "worker_cpu_mean": "(event_id % 70)", "worker_memory_mean_mb": "(event_id % 4096)",
+    "broker_cpu_mean": "(event_id % 50)", "broker_memory_mean_mb": "(event_id % 1024)",
+}
+_LOGS = """(select event_id, ts, case event_id % 3 when 0 then 'stream' when 1 then 'broker' else 'store' end as service, event_id % 11 = 0 as bad, event_id // 3 % (case event_id % 3 when 0 then 5 else 3 end) as form from events)"""
+_TAGS = """case when bad then 'parse_failure' when service = 'stream' then ['checkpoint_failure', 'backpressure,application_error', 'checkpoint_triggered', 'deduplication', 'application_error,stack_trace'][form + 1]
+        when service = 'broker' then ['isr_change', 'leader_election', 'application_error,under_replicated'][form + 1] else [case when event_id % 10 * 1000 + 500 > 5000 then 'slow_query' else '' end, 'materialized_view', 'application_error,complex_query'][form + 1] end"""
 
 OTHER = {
     "latest_version": "select event_type, user_id % 10 as shard, max(ts) as ingest_ts, arg_max(event_id, ts) as event_id from events group by 1, 2",
@@ -170,8 +181,9 @@ OTHER = {
     "service_health": "select case when bool_and(up) then 'healthy' else 'degraded' end as status, count(*) as components from (select event_type, max(value) > 300 as up from events group by 1)",
     "latency_percentiles": """select event_type, count(*) as samples, list_sort(list(value))[cast(least(floor(count(*) * 0.5), count(*) - 1) as bigint) + 1] as p50, list_sort(list(value))[cast(least(floor(count(*) * 0.95), count(*) - 1) as bigint) + 1] as p95,
         list_sort(list(value))[cast(least(floor(count(*) * 0.99), count(*) - 1) as bigint) + 1] as p99 from events group by 1""",
-    "phase_stats": f"""select phase, count(*) as rows, {CENTS.format('avg(value * 100) filter (value > 0)')} as produce_rate_mean, {CENTS.format('avg(value * 3) filter (value > 0)')} as latency_p99_mean, max(value * 4) as latency_max,
-        cast(sum(event_id % 100) as bigint) as latency_samples, max(lag) filter (lag >= 0) as lag_max, max(event_id % 5000) as checkpoint_max_ms, max(event_id) - min(event_id) as errors, max(recovered) as recovery_s from {_METRICS} group by 1""",
+    "phase_stats": f"""select phase, 1000 as target_rate, count(*) as rows, {", ".join(f"{CENTS.format(f'avg({v}) filter ({v} > 0)')} as {name}" for name, v in _MEANS.items())}, {CENTS.format('max(value * 100) filter (value >= 0)')} as produce_rate_max,
+        {CENTS.format('max(value * 4)')} as latency_max, cast(sum(event_id % 100) as bigint) as latency_samples, max(lag) filter (lag >= 0) as lag_max, max(event_id % 5000) as checkpoint_max_ms, cast(sum(event_id % 3) as bigint) as errors, max(recovered) as recovery_s,
+        {CENTS.format("(list_sort(list(value * 100) filter (value > 0)))[cast(least(floor(count(*) filter (value > 0) * 95.0::double / 100), count(*) filter (value > 0) - 1) as bigint) + 1]")} as produce_rate_p95 from {_METRICS} group by 1""",
     "slo_verdicts": f"""with s as (select phase, avg(value * 2) as p95, avg(value * 3) as p99, avg(value * 100) as rate, max(lag) as lag, max(event_id % 5000) as cp, max(recovered) as rec from {_METRICS} where phase <> 'warmup' group by 1),
         t(slo, phase, target) as (values ('warmup_p99', 'warmup', 500.0::double), ('steady_low_p99', 'steady_low', 1000.0), ('steady_mid_p95', 'steady_mid', 2000.0), ('steady_high_p95', 'steady_high', 5000.0), ('steady_low_rate', 'steady_low', 9000.0),
             ('steady_high_rate', 'steady_high', 72000.0), ('checkpoint_ms', 'steady_low', 30000.0), ('lag', 'steady_low', 50000.0), ('recovery_s', 'recovery', 90.0))
@@ -179,18 +191,18 @@ OTHER = {
             select t.*, case when slo like '%p99' then p99 when slo like '%p95' then p95 when slo like '%rate' then rate when slo = 'checkpoint_ms' then cp when slo = 'lag' then lag else rec end as v from t left join s using (phase)) t""",
     "counter_rates": f"""select phase, ts, floor(grown / nullif(seconds, 0) * 1000000.0 + 0.5) / 1000000.0 as rate from (select phase, ts, (event_id - lag(event_id) over w)::double as grown, (epoch_us(ts) - lag(epoch_us(ts)) over w) / 1000000.0::double as seconds
         from {_METRICS} window w as (partition by phase order by ts))""",
-    "parsed_logs": f"""select service, case when not bad then date_trunc('millisecond', ts) end as ts, case when bad then null when service = 'stream' then 'warn' else 'info' end as level, case when service = 'stream' and not bad then event_id end as checkpoint_id,
-        case when service = 'stream' and not bad then cast(event_id % 4 + 1 as integer) end as subtask, case when service = 'broker' and not bad then cast(event_id % 3 as integer) end as leader_id,
-        case when service = 'store' and not bad then event_id % 10 * 1000 + 500 end as elapsed_ms, case when service = 'store' and not bad then event_id * 3 end as rows,
-        case when bad then 'parse_failure' when service = 'stream' then 'checkpoint_failure' when service = 'broker' then 'isr_change' when event_id % 10 * 1000 + 500 > 5000 then 'slow_query' else '' end as tags from {_LOGS}""",
-    "log_tag_counts": f"""select service, tag, count(*) as lines from (select service, case when bad then 'parse_failure' when service = 'stream' then 'checkpoint_failure' when service = 'broker' then 'isr_change'
-        when event_id % 10 * 1000 + 500 > 5000 then 'slow_query' end as tag from {_LOGS}) where tag is not null group by 1, 2""",
+    "parsed_logs": f"""select service, case when not bad then date_trunc('millisecond', ts) end as ts,
+        case when bad then null when service = 'stream' then ['warn', 'error', 'info', 'info', 'error'][form + 1] else ['info', 'warn', 'error'][form + 1] end as level, case when service = 'stream' and form in (0, 2) and not bad then event_id end as checkpoint_id,
+        case when service = 'stream' and not bad then case form when 0 then cast(event_id % 4 + 1 as integer) when 2 then 2 end end as subtask, case when service = 'broker' and not bad then case form when 0 then cast(event_id % 3 as integer) when 1 then 1 end end as leader_id,
+        case when service = 'store' and form = 0 and not bad then event_id % 10 * 1000 + 500 end as elapsed_ms, case when bad then null when service = 'store' and form = 0 then event_id * 3 when service = 'stream' and form = 3 then event_id % 7 end as rows,
+        {_TAGS} as tags from {_LOGS}""",
+    "log_tag_counts": f"""select service, tag, count(*) as lines from (select service, unnest(string_split({_TAGS}, ',')) as tag from {_LOGS}) where tag <> '' group by 1, 2""",
     "metric_alerts": """select 'metrics-' || event_type || '-' || strftime(ts, '%Y.%m.%d') as index, alert, count(*) as records from (select event_type, ts, unnest([case when value + value / 4 > 80 then 'high_cpu' end, case when value / 2 > 85 then 'high_memory' end,
         case when event_id * 3 > 10000 then 'high_lag' end, case when event_id % 7 = 0 then 'no_running_jobs' end, case when value * 1e7 > 3758096384 then 'store_memory' end]) as alert from events) where alert is not null group by 1, 2""",
     "ext_revenue_by_nation": f"""select n_name, {CENTS.format('sum(l_extendedprice * (1 - l_discount))')} as revenue from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by n_nationkey, n_name""",
     "ext_pricing_summary": f"select l_returnflag, l_linestatus, sum(l_quantity) as sum_qty, {CENTS.format('sum(l_extendedprice)')} as sum_base_price, count(*) as count_order from lineitem where l_shipdate <= timestamp '1998-09-02' group by 1, 2",
     "ext_semi_join": "select c_mktsegment, count(*) as customers from customer where exists (select 1 from orders where o_custkey = c_custkey) group by 1",
-    "ext_anti_join": "select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey)",
+    "ext_anti_join": "select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority = '1-URGENT')",
     "ext_full_join": """select coalesce(s_nationkey, c_nationkey) as nationkey, suppliers, customers from (select s_nationkey, count(*) as suppliers from supplier group by 1) s
         full join (select c_nationkey, count(*) as customers from customer where c_nationkey < 15 group by 1) c on s_nationkey = c_nationkey""",
     "ext_asof_join": """select p.event_id, p.user_id, v.value as last_view_value from (select * from events where event_type = 'purchase') p asof left join (select * from events where event_type = 'view') v on p.user_id = v.user_id and p.ts >= v.ts""",
@@ -198,6 +210,12 @@ OTHER = {
     "ext_cube": "select l_returnflag, l_linestatus, count(*) as n, sum(l_quantity) as qty from lineitem group by cube (l_returnflag, l_linestatus)",
     "ext_rollup": "select o_orderstatus, o_orderpriority, count(*) as n from orders group by rollup (o_orderstatus, o_orderpriority)",
     "ext_statistics": "select l_returnflag, floor(stddev_samp(l_quantity) * 1000000.0 + 0.5) / 1000000.0 as sd, median(l_quantity) as median_qty, min(l_shipdate) as first_ship, max(l_shipdate) as last_ship from lineitem group by 1",
+    "ext_window_functions": """select c_nationkey, customers, dense_rank() over (partition by c_nationkey % 5 order by customers desc) as dense, ntile(4) over w as quartile, floor(cume_dist() over w * 1000000.0 + 0.5) / 1000000.0 as cume,
+        floor(percent_rank() over w * 1000000.0 + 0.5) / 1000000.0 as pct, lead(customers) over w as next, first_value(customers) over w as most, cast(sum(customers) over (partition by c_nationkey % 5 order by customers desc, c_nationkey rows between 1 preceding and 1 following) as bigint) as around
+        from (select c_nationkey, count(*) as customers from customer group by 1) window w as (partition by c_nationkey % 5 order by customers desc, c_nationkey)""",
+    "ext_grouping_sets": """select l_returnflag, l_linestatus, grouping(l_returnflag, l_linestatus) as level, count(*) as n, floor(var_pop(l_quantity) * 10000.0 + 0.5) / 10000.0 as variance,
+        arg_max(l_orderkey, (l_extendedprice, l_orderkey, l_linenumber)) as dearest, array_to_string(list_sort(list(distinct l_returnflag)), ',') as flags from lineitem group by grouping sets ((l_returnflag, l_linestatus), (l_linestatus), ())""",
+    "ext_count_window": """select user_id, part, count(*) as events, min(ts) as first_ts, max(ts) as last_ts from (select user_id, ts, (row_number() over (partition by user_id order by ts, event_id) - 1) // 50 as part from events) group by 1, 2""",
     "ext_ranks": """select o_orderpriority, o_orderkey, rank, previous from (select *, rank() over w as rank, lag(o_totalprice) over w as previous from orders window w as (partition by o_orderpriority order by o_totalprice desc, o_orderkey)) where rank <= 10""",
     "ext_set_operations": """select c_nationkey as k, 'both' as side from (select c_nationkey from customer intersect select s_nationkey from supplier) union all select c_nationkey, 'customers' from (select c_nationkey from customer except select s_nationkey from supplier)
         union all select s_nationkey, 'suppliers' from (select s_nationkey from supplier except select c_nationkey from customer)""",

@@ -143,13 +143,14 @@ def revenue_timeseries(events: DataFrame, as_of: datetime.datetime, window: str
     return _recent(events, "event_time", as_of, hours).groupBy(bucket(F.col("event_time"), width).alias("bucket")).agg(F.coalesce(cents(F.sum(paid)), F.lit(0.0)).alias("revenue")).orderBy("bucket")
 
 
-def funnel(events: DataFrame, as_of: datetime.datetime, period: str = "24h", group_by: str = "category", limit: int = 20) -> DataFrame:
+def funnel(events: DataFrame, as_of: datetime.datetime, period: str = "24h", group_by: str = "category", limit: int = 20, sort: str = "views") -> DataFrame:
+    """The `limit` groups with the most of a measure of the user's choice (views where there is no such measure; nulls last)."""
     column = group_by if group_by in GROUPS else "category"
     t = F.col("event_type")
     kinds = {"views": "VIEW", "carts": "ADD_TO_CART", "orders": "ORDER_CREATED", "payments": "PAYMENT_SUCCESS"}
     source = events.withColumn("_group", F.col(column))
     g = _recent(source, "event_time", as_of, period_hours(period)).groupBy(F.col("_group").alias(column)).agg(*[F.count_if(t == k).alias(n) for n, k in kinds.items()])
-    return g.withColumn("conversion_rate", rounded(ratio(F.col("payments"), F.col("views")), 4)).orderBy(F.desc("views"), F.asc_nulls_last(column)).limit(limit)
+    return g.withColumn("conversion_rate", rounded(ratio(F.col("payments"), F.col("views")), 4)).orderBy(F.desc_nulls_last(sort if sort in (*kinds, "conversion_rate") else "views"), F.asc_nulls_last(column)).limit(limit)
 
 
 def global_funnel(groups: DataFrame) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.expr import GRANULARITY, cents, ratio, rounded
+from tributary.functions.expr import GRANULARITY, WINDOW_HOURS, cents, period_hours, ratio, rounded
 from tributary.functions.session import tune
 from tributary.operators import clean as C
 from tributary.operators import dedup as D
@@ -22,6 +22,8 @@ from tributary.sources.generator import sessions
 MIDWAY = datetime.datetime(2024, 1, 16)
 #: The freshness window of the queries that show it; the reference instant is MIDWAY.
 SKEW_HOURS = 48.0
+#: Hours within which an event that is sent again is a repeat.
+DEDUP_HOURS = 2.0
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -31,13 +33,16 @@ def query(f: Query) -> Query:
     return f
 
 
-def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid events, each once."""
-    return D.first_per_id(C.clean(raw_events(spark, sf_dir)))
+def stored(spark: SparkSession, sf_dir: str, since: datetime.datetime | None = None) -> DataFrame:
+    """Valid events, each once. since: the least time that is asked for; what is older by more than an id is remembered is not even read."""
+    if since is None:
+        return D.first_per_id(C.clean(raw_events(spark, sf_dir)))
+    once = D.first_per_id(C.clean(raw_events(spark, sf_dir, since - datetime.timedelta(hours=DEDUP_HOURS))))
+    return once.where(F.col("event_time") >= F.lit(since))
 
 
-def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.measures(stored(spark, sf_dir))
+def back(at: datetime.datetime, hours: float) -> datetime.datetime:
+    return at - datetime.timedelta(hours=hours)
 
 
 # --- validation and dedup
@@ -121,6 +126,16 @@ def rollup_hll(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.groupBy("category").agg(F.sum("events").alias("events"), F.hll_sketch_estimate(F.hll_union_agg("uniq_users")).alias("users"))
 
 
+@query
+def rollup_hll_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the estimates from merged sketches are within three standard errors (1.6 % each, and one user) of the exact counts."""
+    s = stored(spark, sf_dir)
+    sketched = R.rollup_1min(s, sketch=True).groupBy("category").agg(F.hll_sketch_estimate(F.hll_union_agg("uniq_users")).alias("estimate"))
+    exact = s.groupBy(F.col("category").alias("_category")).agg(F.count_distinct("user_id").alias("users"))
+    both = exact.join(sketched, F.col("_category").eqNullSafe(F.col("category")))
+    return both.select("category", "users", (F.abs(F.col("estimate") - F.col("users")) <= 0.048 * F.col("users") + 1).alias("within_bound"))
+
+
 @query
 def kpi_1min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.kpi_1min(R.kpi_partials(stored(spark, sf_dir)))
@@ -142,12 +157,14 @@ def funnel_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.kpi_latest(R.kpi_1min(R.kpi_partials(stored(spark, sf_dir))), as_of(spark, sf_dir))
+    at = as_of(spark, sf_dir)
+    return Q.kpi_latest(R.kpi_1min(R.kpi_partials(stored(spark, sf_dir, back(at, 2)))), at)
 
 
 @query
 def funnel_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.funnel_latest(R.funnel_5min(R.funnel_partials(stored(spark, sf_dir))), as_of(spark, sf_dir))
+    at = as_of(spark, sf_dir)
+    return Q.funnel_latest(R.funnel_5min(R.funnel_partials(stored(spark, sf_dir, back(at, 7)))), at)
 
 
 @query
@@ -158,6 +175,13 @@ def kpi_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.kpi_1min(R.kpi_partials(last)).groupBy("event_type").agg(F.sum("events").alias("events"), F.sum("total_qty").alias("total_qty"), cents(F.sum("total_revenue")).alias("total_revenue"))
 
 
+@query
+def funnel_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Funnels rebuilt from the latest versions of raw rows."""
+    raw = C.clean(raw_events(spark, sf_dir)).withColumn("ingest_ts", F.col("event_time"))
+    return R.funnel_5min(R.funnel_partials(D.latest_version(raw, ("event_type", "category", "event_id"))))
+
+
 @query
 def hourly_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.hourly_category(stored(spark, sf_dir))
@@ -165,10 +189,17 @@ def hourly_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- dashboard and ad-hoc queries
 
-for _name in ("revenue_by_category", "event_types_last_hour", "payment_success_by_mode", "hourly_timeseries", "unique_users_by_device", "cart_abandonment", "aov_by_hour_of_day", "event_type_distribution", "peak_hours", "category_leaderboard", "minute_rollup_top20", "per_minute_by_type"):
+#: Queries over minutes, with the hours back from now that each of them looks at.
+OVER_CUBE = {
+    "revenue_by_category": 24, "event_types_last_hour": 1, "payment_success_by_mode": 168, "hourly_timeseries": 72, "unique_users_by_device": 24, "cart_abandonment": 720, "aov_by_hour_of_day": 168,
+    "event_type_distribution": 24, "peak_hours": 720, "category_leaderboard": 168, "minute_rollup_top20": 1, "per_minute_by_type": 1,
+}
 
-    def _over_cube(spark: SparkSession, sf_dir: str, plan=getattr(Q, _name)) -> DataFrame:
-        return plan(cube(spark, sf_dir), as_of(spark, sf_dir))
+for _name, _hours in OVER_CUBE.items():
+
+    def _over_cube(spark: SparkSession, sf_dir: str, plan=getattr(Q, _name), hours: float = _hours) -> DataFrame:
+        at = as_of(spark, sf_dir)
+        return plan(R.measures(stored(spark, sf_dir, back(at, hours))), at)
 
     _over_cube.__name__ = _name
     query(_over_cube)
@@ -176,7 +207,8 @@ for _name in ("revenue_by_category", "event_types_last_hour", "payment_success_b
 for _g in GRANULARITY:
 
     def _series(spark: SparkSession, sf_dir: str, g: str = _g) -> DataFrame:
-        return Q.revenue_timeseries(stored(spark, sf_dir), as_of(spark, sf_dir), "30d" if g in ("1h", "1d") else "24h", g)
+        window, at = "30d" if g in ("1h", "1d") else "24h", as_of(spark, sf_dir)
+        return Q.revenue_timeseries(stored(spark, sf_dir, back(at, WINDOW_HOURS[window])), at, window, g)
 
     _series.__name__ = f"revenue_timeseries_{_g}"
     query(_series)
@@ -184,32 +216,45 @@ for _g in GRANULARITY:
 
 @query
 def realtime_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.realtime_kpis(stored(spark, sf_dir), as_of(spark, sf_dir))
+    at = as_of(spark, sf_dir)
+    return Q.realtime_kpis(stored(spark, sf_dir, back(at, 24)), at)
+
+
+def _funnel(spark: SparkSession, sf_dir: str, period: str, group_by: str = "category", **settings) -> DataFrame:
+    at = as_of(spark, sf_dir)
+    return Q.funnel(stored(spark, sf_dir, back(at, period_hours(period))), at, period, group_by, **settings)
 
 
 @query
 def funnel_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.funnel(stored(spark, sf_dir), as_of(spark, sf_dir), "30d")
+    return _funnel(spark, sf_dir, "30d")
 
 
 @query
 def funnel_by_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.funnel(stored(spark, sf_dir), as_of(spark, sf_dir), "7d", "event_type")
+    return _funnel(spark, sf_dir, "7d", "event_type")
 
 
 @query
 def global_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.global_funnel(Q.funnel(stored(spark, sf_dir), as_of(spark, sf_dir), "30d"))
+    return Q.global_funnel(_funnel(spark, sf_dir, "30d"))
 
 
 @query
 def top5_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.top5_categories(Q.funnel(stored(spark, sf_dir), as_of(spark, sf_dir), "30d"))
+    return Q.top5_categories(_funnel(spark, sf_dir, "30d"))
+
+
+@query
+def funnel_by_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel's rows by a measure of the user's choice."""
+    return _funnel(spark, sf_dir, "30d", sort="conversion_rate")
 
 
 @query
 def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.top_products(stored(spark, sf_dir), as_of(spark, sf_dir))
+    at = as_of(spark, sf_dir)
+    return Q.top_products(stored(spark, sf_dir, back(at, 168)), at)
 
 
 @query
@@ -226,7 +271,8 @@ def live_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def events_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.events_by_type(stored(spark, sf_dir), as_of(spark, sf_dir), 86_400)
+    at = as_of(spark, sf_dir)
+    return Q.events_by_type(stored(spark, sf_dir, back(at, 24)), at, 86_400)
 
 
 @query
@@ -240,7 +286,7 @@ def timeseries_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     paid = F.col("event_type") == "PAYMENT_SUCCESS"
     aggs = {"events": F.count(F.lit(1)), "payments": F.count_if(paid), "revenue": cents(F.coalesce(F.sum(F.when(paid, F.col("price"))), F.lit(0.0)))}
     post = {"revenue_per_event": rounded(ratio(F.col("revenue"), F.col("events")), 4)}
-    return Q.timeseries(stored(spark, sf_dir), "event_time", end - datetime.timedelta(days=3), end, "1h", aggs, F.col("device") == "web", post, descending=True)
+    return Q.timeseries(stored(spark, sf_dir, end - datetime.timedelta(days=3)), "event_time", end - datetime.timedelta(days=3), end, "1h", aggs, F.col("device") == "web", post, descending=True)
 
 
 # --- quality, erasure, upkeep
@@ -295,8 +341,10 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     phase = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.col("event_type"))
     v, i = F.col("value"), F.col("event_id")
     return table(spark, sf_dir, "events").select(
-        phase.alias("phase"), F.col("ts").cast("timestamp").alias("ts"), i.alias("produced_total"), (v * 100).alias("actual_produce_rate"), (v * 90).alias("actual_consume_rate"), F.when(i % 50 == 0, -1).otherwise(i % 1000).alias("kafka_lag"),
-        v.alias("latency_p50_ms"), (v * 2).alias("latency_p95_ms"), (v * 3).alias("latency_p99_ms"), (v * 4).alias("latency_max_ms"), (i % 100).alias("latency_samples"), (i % 5000).alias("checkpoint_duration_ms"), i.alias("errors"),
+        phase.alias("phase"), F.col("ts").cast("timestamp").alias("ts"), F.lit(1000).alias("target_rate"), i.alias("produced_total"), (v * 100).alias("actual_produce_rate"), (v * 90).alias("actual_consume_rate"), F.when(i % 50 == 0, -1).otherwise(i % 1000).alias("kafka_lag"),
+        v.alias("latency_p50_ms"), (v * 2).alias("latency_p95_ms"), (v * 3).alias("latency_p99_ms"), (v * 4).alias("latency_max_ms"), (i % 100).alias("latency_samples"), (i % 5000).alias("checkpoint_duration_ms"),
+        (i % 64).cast("double").alias("checkpoint_size_mb"), (i % 90).cast("double").alias("flink_jm_cpu_pct"), (i % 2048).cast("double").alias("flink_jm_mem_mb"), (i % 70).cast("double").alias("flink_tm1_cpu_pct"), (i % 4096).cast("double").alias("flink_tm1_mem_mb"),
+        (i % 50).cast("double").alias("kafka1_cpu_pct"), (i % 1024).cast("double").alias("kafka1_mem_mb"), (i % 3).alias("errors"),
         F.when(i % 100 == 0, F.concat(F.lit("RECOVERED_IN_"), (i % 80).cast("string"), F.lit("s"))).otherwise("RUNNING").alias("flink_job_status"),
     )
 
@@ -309,7 +357,7 @@ def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def phase_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = perf.phase_stats(_metrics(spark, sf_dir))
-    return s.select("phase", "rows", cents(F.col("produce_rate_mean")).alias("produce_rate_mean"), cents(F.col("latency_p99_mean")).alias("latency_p99_mean"), "latency_max", "latency_samples", "lag_max", "checkpoint_max_ms", "errors", "recovery_s")
+    return s.withColumns({name: cents(F.col(name)) for name in [*perf.MEANS, "produce_rate_max", "produce_rate_p95", "latency_max"]})
 
 
 @query
@@ -325,13 +373,28 @@ def counter_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines of three services made from the events, one in eleven of which fits no pattern."""
+    """Log lines of three services made from the events, in all forms that they come in; one in eleven fits no pattern."""
     i, at = F.col("event_id"), F.col("ts").cast("timestamp")
-    f = F.date_format
-    stream = F.concat(f(at, "yyyy-MM-dd HH:mm:ss,SSS"), F.lit(" WARN [Dedup ("), (i % 4 + 1).cast("string"), F.lit("/4)] com.acme.Job - Checkpoint "), i.cast("string"), F.lit(" failed: expired"))
-    broker = F.concat(F.lit("["), f(at, "yyyy-MM-dd HH:mm:ss,SSS"), F.lit("] INFO [Partition clean-"), (i % 12).cast("string"), F.lit("] Shrinking ISR for leaderId="), (i % 3).cast("string"), F.lit(" (kafka.cluster.Partition)"))
-    store = F.concat(f(at, "yyyy.MM.dd HH:mm:ss.SSS"), F.lit(" [ "), (i % 90).cast("string"), F.lit(" ] {q"), i.cast("string"), F.lit("} <Information> executeQuery: Read "), (i * 3).cast("string"), F.lit(" rows from shop.kpi in "), F.format_string("%d.5", i % 10), F.lit(" sec"))
-    line = F.when(i % 11 == 0, F.concat(F.lit("garbled "), i.cast("string"))).when(i % 3 == 0, stream).when(i % 3 == 1, broker).otherwise(store)
+    f, c = F.date_format, lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    n, turn = i.cast("string"), F.call_function("div", i, F.lit(3))
+    pick = lambda forms: F.element_at(F.array(*forms), (turn % len(forms)).cast("int") + 1)
+    s, h = f(at, "yyyy-MM-dd HH:mm:ss,SSS"), f(at, "yyyy.MM.dd HH:mm:ss.SSS")
+    k = c("[", s, "]")
+    instant = F.struct((F.unix_millis(at) / 1000).cast("bigint").alias("epochSecond"), (F.unix_millis(at) % 1000 * 1_000_000).alias("nanoOfSecond"))
+    record = F.to_json(F.struct(F.lit("INFO").alias("level"), F.lit("com.acme.Coordinator").alias("loggerName"), c("Triggering checkpoint ", n).alias("message"), F.lit("Sink (2/4)").alias("thread"), instant.alias("instant")))
+    stream = pick([
+        c(s, " WARN [Dedup (", (i % 4 + 1).cast("string"), "/4)] com.acme.Job - Checkpoint ", n, " failed: expired"), c(s, " ERROR Backpressure at the sink"), record,
+        c(s, " INFO dedup dropped ", (i % 7).cast("string"), " rows"), c(s, " ERROR IOException in operator"),
+    ])
+    broker = pick([
+        c(k, " INFO [Partition clean-", (i % 12).cast("string"), "] Shrinking ISR for leaderId=", (i % 3).cast("string"), " (kafka.cluster.Partition)"), c(k, " WARN New leader for clean-3 leaderId=1 (kafka.server.X)"),
+        c(k, " ERROR Under-replicated partitions: ", n),
+    ])
+    store = pick([
+        c(h, " [ ", (i % 90).cast("string"), " ] {q", n, "} <Information> executeQuery: Read ", (i * 3).cast("string"), " rows from shop.kpi in ", F.format_string("%d.5", i % 10), " sec"),
+        c(h, " [ 12 ] <Warning> materialized view shop.kpi_mv refreshed"), c(h, " <Error> ", F.repeat(F.lit("x"), 500)),
+    ])
+    line = F.when(i % 11 == 0, c("garbled ", n)).when(i % 3 == 0, stream).when(i % 3 == 1, broker).otherwise(store)
     container = F.when(i % 3 == 0, "flink-taskmanager-1").when(i % 3 == 1, "kafka-1").otherwise("clickhouse-1")
     return table(spark, sf_dir, "events").select(container.alias("container"), line.alias("message"), i.alias("event_id"))
 
@@ -348,6 +411,12 @@ def log_tag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("service", F.explode("tags").alias("tag")).groupBy("service", "tag").agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query
+def dlq_rate_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days on which more than one event in a hundred is rejected."""
+    return logs.dead_letter_rate(C.tagged(raw_events(spark, sf_dir)), minutes=1440)
+
+
 @query
 def metric_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, v = F.col("event_id"), F.col("value")
@@ -391,7 +460,8 @@ def ext_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ext_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    """Customers without an urgent order."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
     return c.join(o, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
@@ -442,9 +512,42 @@ def ext_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ext_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten dearest orders of each priority. They are found by a limited window first, so that the others need no window of their own."""
     w = Window.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    o = table(spark, sf_dir, "orders").withColumn("rank", F.rank().over(w).cast("bigint")).withColumn("previous", F.lag("o_totalprice").over(w))
-    return o.where("rank <= 10").select("o_orderpriority", "o_orderkey", "rank", "previous")
+    o = table(spark, sf_dir, "orders").withColumn("rank", F.rank().over(w)).where("rank <= 10")
+    return o.select("o_orderpriority", "o_orderkey", F.col("rank").cast("bigint").alias("rank"), F.lag("o_totalprice").over(w).alias("previous"))
+
+
+@query
+def ext_window_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense rank, quartile, share of rows at or below, next, first and moving values over the nations' customers."""
+    c = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
+    by, order = Window.partitionBy(F.col("c_nationkey") % 5), [F.desc("customers"), "c_nationkey"]
+    w = by.orderBy(*order)
+    return c.select(
+        "c_nationkey", "customers", F.dense_rank().over(by.orderBy(F.desc("customers"))).cast("bigint").alias("dense"), F.ntile(4).over(w).cast("bigint").alias("quartile"), rounded(F.cume_dist().over(w), 6).alias("cume"), rounded(F.percent_rank().over(w), 6).alias("pct"),
+        F.lead("customers").over(w).alias("next"), F.first_value("customers").over(w).alias("most"), F.sum("customers").over(w.rowsBetween(-1, 1)).alias("around"),
+    )
+
+
+@query
+def ext_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by two sets of columns at once, and aggregates that the event queries do not use."""
+    li = table(spark, sf_dir, "lineitem")
+    sets = li.groupingSets([["l_returnflag", "l_linestatus"], ["l_linestatus"], []], "l_returnflag", "l_linestatus")
+    return sets.agg(
+        F.grouping_id().cast("bigint").alias("level"), F.count(F.lit(1)).alias("n"), rounded(F.var_pop("l_quantity"), 4).alias("variance"), F.max_by("l_orderkey", F.struct("l_extendedprice", "l_orderkey", "l_linenumber")).alias("dearest"),
+        F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("flags"),
+    )
+
+
+@query
+def ext_count_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 50 events of a user each, in order: their span and their value."""
+    e = table(spark, sf_dir, "events")
+    place = F.call_function("div", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1, F.lit(50)).cast("bigint")
+    g = e.withColumn("part", place).groupBy("user_id", "part").agg(F.count(F.lit(1)).alias("events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    return g.select("user_id", "part", "events", "first_ts", "last_ts")
 
 
 @query
