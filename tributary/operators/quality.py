@@ -128,3 +128,14 @@ def health(components: DataFrame) -> DataFrame:
     """components (name, status): healthy if all are up, unhealthy if any is down, else degraded."""
     up, down = F.coalesce(F.bool_and(F.col("status") == "up"), F.lit(True)), F.coalesce(F.bool_or(F.col("status") == "down"), F.lit(False))
     return components.agg(F.when(up, "healthy").when(down, "unhealthy").otherwise("degraded").alias("status"), F.count(F.lit(1)).alias("components"))
+
+
+def missing(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """The keys of expected, each once, that found does not have; nulls are left out."""
+    return expected.select(key).where(F.col(key).isNotNull()).distinct().join(found, key, "left_anti")
+
+
+def same_set(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two tables have the same rows, however often."""
+    b = b.select(*a.columns)
+    return not a.subtract(b).limit(1).count() and not b.subtract(a).limit(1).count()

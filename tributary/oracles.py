@@ -224,4 +224,36 @@ OTHER = {
         select *, coalesce(ts >= lag(ts) over (partition by user_id order by ts, event_id) + interval 12 hour, true) as fresh from events)) group by user_id, s""",
 }
 
-ORACLES: dict[str, str] = {name: EVENTS + sql for name, sql in _EVENT_QUERIES.items()} | OTHER
+#: What the jobs write, which is what plain queries over all events give.
+_JOB_QUERIES = {
+    "job_events": "select * from stored",
+    "job_dead_letters": "select reason, event_id from tagged where reason is not null",
+    "job_kpi_1min": KPI,
+    "job_funnel_5min": FUNNEL,
+    "job_rollup_1min": _EVENT_QUERIES["rollup_1min"],
+    "job_rebuilt_kpi_1min": KPI,
+    "compacted_events": "select * from stored",
+    "retained_kpi_1min": f"select k.* from ({KPI}) k, now where cast(window_start as date) >= cast(t as date) - 10",
+    "store_statistics": """select 'events' as "table", count(*) as rows, '' as warnings from stored union all select 'dead_letters', count(*), '' from tagged where reason is not null""",
+    "erased_store": "select count(*) filter (user_id is distinct from 'USR-00007') as events, cast(0 as bigint) as of_user, 'ok' as status, count(*) filter (user_id = 'USR-00007') as rows_deleted from stored",
+    "decoded_events": "select event_id, session_id, date_trunc('millisecond', event_time) as event_time, event_type, device, ip, user_id, product_id, category, quantity, price, payment_mode from raw where payment_mode is distinct from 'emi'",
+    "decode_error_months": "select count(*) as errors, '2020-01' as dropped from raw where payment_mode = 'emi'",
+    "stream_windows": f"""select date_trunc('day', event_time) as window_start, category, event_type, count(*) as events, {CENTS.format('sum(coalesce(price, 0) * coalesce(quantity, 0))')} as revenue
+        from (select *, row_number() over (partition by event_id order by event_time) as rn from raw) where rn = 1 group by 1, 2, 3""",
+    "missing_ids": "select distinct event_id, true as others_same from raw where event_id not in (select event_id from stored)",
+    "live_then_polled": """select event_id, event_time, event_type from (select *, row_number() over (partition by event_type order by event_time desc) as place from (select *, row_number() over (partition by event_id order by event_time) as rn from raw) where rn = 1)
+        where event_type = 'PAYMENT_SUCCESS' and place <= 120 or event_type = 'ORDER_CREATED' and place <= 200 - (select least(120, count(distinct event_id)) from raw where event_type = 'PAYMENT_SUCCESS')""",
+}
+_COMPACT = "case when {0} >= 1000000 then format('{{:,.1f}}M', {0} / 1000000.0) when {0} >= 1000 then format('{{:,.1f}}k', {0} / 1000.0) else format('{{:,}}', {0}) end"
+OTHER |= {
+    "snapshot_upsert": "select cast(event_id as varchar) as event_id, case when event_type = 'error' then 'corrected' else event_type end as event_type, case when event_type = 'error' then 0.0 else value end as value from events",
+    "metrics_round_trip": f"""select event_type as phase, count(*) as rows, cast(sum(case when event_type = 'view' then -1 else event_id end) as bigint) as lag, cast(count(*) filter (event_type <> 'error') as bigint) as errors, 0.0::double as p99,
+        {CENTS.format('sum(value)')} as rate, cast(0 as bigint) as malformed from events group by 1""",
+    "stream_latency": OTHER["produced_consumed_latency"],
+    "savepoint_inventory": "select event_type as job_id, count(distinct date_trunc('minute', ts)) as savepoints, max(date_trunc('minute', ts)) as newest from events group by 1",
+    "bound_parameters": "select event_type, count(*) as n, cast(sum(event_id) as bigint) as ids, 'events:' || md5('least=100.0') as cache_key from events where value >= 100.0 and event_type <> 'vi''ew' group by 1",
+    "display_formats": f"select o_orderpriority, format('${{:,.2f}}', n + 0.25) as usd, {_COMPACT.format('(n * 1000)')} as thousands, {_COMPACT.format('n')} as plain, '12.5%' as pct from (select o_orderpriority, count(*) as n from orders group by 1)",
+    "generator_rules": "select cast(0 as bigint) as too_long, cast(0 as bigint) as paid_unordered, cast(0 as bigint) as paid_twice, cast(0 as bigint) as repeated_ids, true as same_again",
+}
+
+ORACLES: dict[str, str] = {name: EVENTS + sql for name, sql in (_EVENT_QUERIES | _JOB_QUERIES).items()} | OTHER

@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.expr import GRANULARITY, WINDOW_HOURS, cents, period_hours, ratio, rounded
-from tributary.functions.session import tune
 from tributary.operators import clean as C
 from tributary.operators import dedup as D
 from tributary.operators import erasure, logs, maintenance, perf, quality
 from tributary.plans import catalog as Q
 from tributary.plans import rollup as R
+from tributary.registry import QUERIES, query
 from tributary.sources.events import as_of, raw_events, table
 from tributary.sources.generator import sessions
 
@@ -24,14 +23,6 @@ MIDWAY = datetime.datetime(2024, 1, 16)
 SKEW_HOURS = 48.0
 #: Hours within which an event that is sent again is a repeat.
 DEDUP_HOURS = 2.0
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
-
-def query(f: Query) -> Query:
-    QUERIES[f.__name__] = lambda spark, sf_dir: R.plain_times(f(tune(spark), sf_dir))
-    return f
-
 
 def stored(spark: SparkSession, sf_dir: str, since: datetime.datetime | None = None) -> DataFrame:
     """Valid events, each once. since: the least time that is asked for; what is older by more than an id is remembered is not even read."""
@@ -572,3 +563,4 @@ def ext_session_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("user_id", F.col("s.start").alias("session_start"), "events")
 
 
+from tributary import job_queries  # noqa: E402, F401  they register themselves, after these
