@@ -73,3 +73,18 @@ def test_without_text_operators(tmp_path):
     shutil.copy(root / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert set(o) <= set(q) and 'revenue_by_category' in q and not [n for n in q if n.startswith('op')]"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, timeout=120)
+
+
+def test_missing_libraries_are_told(tmp_path):
+    """A library that the text operators need is no reason to leave them out in silence."""
+    import shutil
+
+    root = Path(__file__).resolve().parent.parent
+    if not (root / "corpus_pipeline.py").exists():
+        return
+    shutil.copytree(root / "tributary", tmp_path / "tributary", ignore=shutil.ignore_patterns("__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        shutil.copy(root / name, tmp_path)
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__"
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, timeout=120, capture_output=True, text=True)
+    assert run.returncode and "xxhash" in run.stderr
