@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tributary.llm import bpe, embeddings, exact_dedup, language, licenses, mixing, pii, sharding, simhash, substring
+from tributary.llm import bpe, common, embeddings, exact_dedup, language, licenses, mixing, pii, sharding, simhash, substring
 from tributary.llm.common import components
 
 WS = re.compile(r"[\x20\x09-\x0D]+")
@@ -232,10 +232,19 @@ def test_mixed_rows(spark, rows):
     by_hand = mix_by_hand([(i, t, s) for i, t, _, s in rows], cut=False, shards=4)
     order = {(i, t, d[1]): d[3] for (i, t, _, _), x in zip(rows, by_hand, strict=True) for d in x}
     assert spots == set(order)
-    if int(spark.conf.get("spark.sql.shuffle.partitions")) <= 4:  # a shard is one piece, so its rows come in its order
-        for shard in range(4):
-            keys = [order[r["doc_id"], r["text"], shard] for r in one if r["shard_"] == shard]
-            assert keys == sorted(keys)
+    for shard in range(4):  # a shard is one piece here, so its rows come in its order
+        keys = [order[r["doc_id"], r["text"], shard] for r in one if r["shard_"] == shard]
+        assert keys == sorted(keys)
+    whole = mixing.PIECE_WORDS
+    try:
+        mixing.PIECE_WORDS = 300  # pieces by size: each is in order, and a task has one of them
+        out = mixing.arranged(table(spark, rows), named="shard", shards=4)
+        assert out.rdd.getNumPartitions() > 8 and {(r["doc_id"], r["text"], r["shard_"]) for r in out.collect()} == spots
+        for part in out.rdd.glom().collect():
+            keys = [order[r["doc_id"], r["text"], r["shard_"]] for r in part]
+            assert keys == sorted(keys) and len({r["shard_"] for r in part}) <= 1
+    finally:
+        mixing.PIECE_WORDS = whole
     assert mixing.mixed(table(spark, rows).limit(0)).count() == 0
 
 
@@ -337,6 +346,42 @@ def test_simhash_links_of_random_neighbours(spark, block):
     assert [forest.top(x) for x in ids] == [want.top(x) for x in ids]
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_crowded_keys(spark, monkeypatch, how):
+    """Rows are looked up the same way whether the table is broadcast, or only its crowded keys, or none of them."""
+    rng = random.Random(18)
+    rows = [(k, rng.choice([7] * 8 + list(range(40)))) for k in range(500)] + [(1000, None)]
+    many = Counter(x for _, x in rows)
+    table_ = [(x, f"v{x}", many[x]) for x in many if x is not None and x % 3]
+    known = {x: v for x, v, _ in table_}
+    left, right = spark.createDataFrame(rows, "uid long, x long").repartition(5), spark.createDataFrame(table_, "x long, v string, n long")
+    want = Counter((k, x, known.get(x)) for k, x in rows if how == "left" or x in known)
+    for hot, most in ((50_000, 1 << 20), (500, 0), (20, 0), (1, 0)):
+        with monkeypatch.context() as m:
+            m.setattr(common, "HOT", hot)
+            m.setattr(common, "checked", lambda df, *a, most=most, real=common.checked: real(df) if most else df)
+            assert got(common.looked_up(left, right, ["x"], "n", how), "uid", "x", "v") == got(common.looked_up(left, right, ["x"], "n", how, False), "uid", "x", "v") == want
+
+
+def test_one_group_holds_most_rows(spark, monkeypatch):
+    """Copies, wordless texts, one passage and one source that most rows have, without any broadcast of what is looked up."""
+    rng = random.Random(19)
+    text = lambda n: " ".join("".join(rng.choice("abcdef") for _ in range(rng.randint(2, 6))) for _ in range(n))
+    base, passage = text(130), text(60)
+    rows = [(k, base, "en", "hot") for k in range(300)] + [(300 + k, None if k % 2 else " ", "en", "hot") for k in range(60)] + [(400 + k, f"{text(9)} {passage} {text(9)}", "en", "hot") for k in range(200)] + [(700 + k, text(70), "en", f"s{k % 3}") for k in range(30)]
+    monkeypatch.setattr(common, "HOT", 50)
+    for module in (common, exact_dedup, mixing, simhash, substring):
+        monkeypatch.setattr(module, "checked", lambda df, *a: df)
+    groups = Counter(WS.sub(" ", t or "") for _, t, *_ in rows)
+    out = exact_dedup.exact_dedup(table(spark, rows)).collect()
+    assert Counter(r["group_size"] for r in out) == Counter(groups[WS.sub(" ", t or "")] for _, t, *_ in rows) and sum(r["kept"] for r in out) == len(groups)
+    near = simhash.simhash_dedup(table(spark, rows)).collect()
+    assert {r["component_id"] for r in near if r["doc_id"] < 300} == {0} and {r["component_id"] for r in near if 300 <= r["doc_id"] < 360} == {300}
+    assert got(substring.substring_dedup(table(spark, rows), with_text=True), *CUT) == without_repeats(rows)
+    by_hand = mix_by_hand([(i, t, s) for i, t, _, s in rows])
+    assert got(mixing.mix(table(spark, rows)), "doc_id", "taken") == Counter((i, sum(d[2] for d in x)) for (i, *_), x in zip(rows, by_hand, strict=True))
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     out = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
@@ -441,7 +486,7 @@ def test_bpe_words():
     b = bpe.Bpe(str(public_tokenizers.path("byte_bpe_50k.json")))
     rng = random.Random(6)
     some = sorted({"".join(rng.choice("etaoinshr lé'0") for _ in range(rng.randint(1, 30))).encode() for _ in range(3_000)})
-    assert list(b.encode_words(some)) == [b.merge(w) for w in some]
+    assert list(b.encode_words(some)) == [b.merge(w) for w in some] == list(b.encode_words(some, long=True))
 
 
 def pii_base(t):

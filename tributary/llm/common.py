@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.functions.scratch import discard, release, scratch, shared_dir, stage
 from tributary.functions.ship import ship
 
+__all__ = ["checked", "components", "discard", "kept_rows", "looked_up", "quoted", "read", "release", "scratch", "shared_dir", "stage", "text_bytes", "text_hash", "to_python", "unused", "whole"]
+
 #: The ASCII white space that separates words, as a Java and RE2 pattern.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,74 +20,11 @@ BROADCAST_BYTES = 32 << 20
 #: Keys that hold more than one in so many rows are looked up by broadcast, so there are fewer such keys than this.
 HOT = 50_000
 
-#: Tables that stage() has written, by path.
-_written: dict[str, SparkSession] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (local tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        path = f"file://{tempfile.mkdtemp(prefix='tributary-')}"
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-    """Writes df to the shared folder and reads it back: the lineage is cut, and lost executors cost no recomputation.
-
-    The files stay until discard(), release() or the end of the driver, since a lazy result may still read them. by: a
-    column that each has a folder of its own for.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tributary-{uuid.uuid4().hex}-{name}"
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
-    _written[path] = spark
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tributary_path = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Deletes tables of stage() that nothing reads any more; what was made from them must have been staged itself. Other tables are left alone."""
-    for t in tables:
-        if path := getattr(t, "_tributary_path", None):
-            _delete(path)
-
-
-def _delete(path: str) -> None:
-    spark = _written.pop(path, None)
-    if spark is not None:
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that discard()'s and release()'s rules hold for, too."""
-    path = f"{shared_dir(spark)}/tributary-{uuid.uuid4().hex}-{name}"
-    _written[path] = spark
-    return path
-
-
-def release() -> None:
-    """Deletes every table that stage() has written. Only call it when no result that reads them is needed any more."""
-    for path in list(_written):
-        try:
-            _delete(path)
-        except Exception:  # the session has ended, and the driver with it
-            return
-
-
-atexit.register(release)
-
-
-def to_python(df: DataFrame, most: str = "8m") -> DataFrame:
+def to_python(df: DataFrame, most: str = "4m") -> DataFrame:
     """df, ready for Python functions: the package is shipped, and a batch of rows holds so many bytes at most (or one row)."""
     ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
@@ -113,16 +48,15 @@ def checked(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYT
     return F.broadcast(df) if n <= rows and size <= most else df
 
 
-def looked_up(rows: DataFrame, table: DataFrame, on: list[str], weight: str, how: str = "inner") -> DataFrame:
+def looked_up(rows: DataFrame, table: DataFrame, on: list[str], weight: str, how: str = "inner", small: bool = True) -> DataFrame:
     """rows joined (inner or left) with table, which has one row per key and says in `weight` how many of rows have that key.
 
-    A small table is broadcast. Of a large one the keys of over 1 in HOT rows are: there are at most HOT such keys, however
+    A small table is broadcast (not with small=False, for tables that only are small where the data are). Of a large one the keys of over 1 in HOT rows are: there are at most HOT such keys, however
     many rows there are, and no other key is crowded enough to hold up the task that the shuffle sends it to. rows should be
     staged, as they are read more than once.
     """
-    small = checked(table)
-    if small is not table:
-        return rows.join(small, on, how)
+    if small and (sent := checked(table)) is not table:
+        return rows.join(sent, on, how)
     limit = rows.count() // HOT
     hot = F.broadcast(table.where(F.col(weight) > limit))
     rest = rows.join(hot.select(*on), on, "left_anti").join(table.where(F.col(weight) <= limit), on, how)

@@ -71,7 +71,7 @@ def shard(docs: DataFrame, shards: int = 40, seed: int = 7) -> DataFrame:
 
     Row counts of shards differ by one at most (law `rows`). Rows are numbered by doc_id (null last), repeated doc_ids by
     size and checksum; rows equal in all of these are interchangeable. A null text has no bytes. Under `shards` rows, the
-    last shards are empty. Other columns are ignored.
+    last shards are empty; an empty table gives an empty result. Other columns are ignored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", (F.octet_length(text) + F.lit(16)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))

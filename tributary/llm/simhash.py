@@ -242,8 +242,8 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     """One row per row of docs: uid, doc_id, th, fingerprint (16 hex digits), component_id (smallest doc_id reachable), kept.
 
     Null and empty texts have fingerprint 0 and link like any other. Of each component one row is kept: the one with the
-    smallest doc_id (null last; of repeated rows one). A component whose doc_ids are all null has a null component_id. An
-    empty table gives an empty result. Other columns are ignored.
+    smallest doc_id (null last; of repeated rows one). A component whose doc_ids are all null has a null component_id.
+    Texts of any length are read whole, some shingles at a time. An empty table gives an empty result. Other columns are ignored.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), text_bytes().alias("text"))
     rows = stage(to_python(rows).mapInArrow(_fingerprints, "uid long, doc_id long, th long, fp long"), "fingerprints")
