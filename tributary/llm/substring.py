@@ -440,11 +440,12 @@ def _dedup(docs: DataFrame, index: FingerprintIndex, batches: int, with_text: bo
         earlier = stage(listed(contested.where(F.col("first.id") <= upto).select("first.*")), "earlier")
         texts = texts.unionByName(_wanted(index.texts(), earlier).join(earlier, ["id", "th"]))
     windows = stage(to_python(texts).select("id", "th", "text", "pos", "len").mapInArrow(_windows(seed, bits), "h1 long, h2 long, id long, th long, pos int"), "windows")
-    first = windows.groupBy("h1", "h2").agg(F.min("id").alias("wid"), F.max("id").alias("last")).where("wid < last").select("h1", "h2", "wid")
-    first = stage(first, "first")  # apart from the join, so that a window which many documents have can be split there
-    same = stage(windows.join(first, ["h1", "h2"]), "same")
-    places = same.where("id = wid").groupBy("h1", "h2").agg(F.min(F.struct(F.col("th").alias("wth"), F.col("pos").alias("wpos"))).alias("at"))
-    single = same.where("id > wid" if upto is None else f"id > wid and id > {upto}").join(places, ["h1", "h2"])
+    first = windows.groupBy("h1", "h2").agg(F.min("id").alias("wid"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("wid < last")
+    first = stage(first.select("h1", "h2", "wid", "n"), "first")
+    same = stage(looked_up(windows, first, ["h1", "h2"], "n"), "same")
+    places = same.where("id = wid").groupBy("h1", "h2").agg(F.min(F.struct(F.col("th").alias("wth"), F.col("pos").alias("wpos"))).alias("at"), F.first("n").alias("many"))
+    single = stage(same.where("id > wid" if upto is None else f"id > wid and id > {upto}").drop("n"), "later")
+    single = looked_up(single, stage(places, "at"), ["h1", "h2"], "many")
     spans = spans.unionByName(single.select("id", "th", "pos", F.lit(1).alias("len"), "wid", "at.*"))
     spans = stage(spans.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "len", "wid", "wth", "wpos")).alias("spans")), "spans")
     discard(contested, met, parts, windows, first, same)
