@@ -405,33 +405,41 @@ def _dedup(docs: DataFrame, index: FingerprintIndex, batches: int, with_text: bo
     # copies of a whole document
     whole = rows.where(F.col("n_words") >= WINDOW).groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
     known_copies = index.copies()
-    if known_copies is not None:
+    if index.kept:
         whole = stage(whole, "whole")
+    if known_copies is not None:
         seen = whole.select("sha").join(known_copies, "sha").groupBy("sha").agg(F.min("first").alias("seen"))
         whole = whole.join(seen, "sha", "left").withColumn("first", F.coalesce("seen", "first")).drop("seen")
     firsts = stage(whole.where("first < last").select("sha", "first", "n"), "copies")
     slim = looked_up(rows.select("doc_id", "id", "th", "n_words", "sha"), firsts, ["sha"], "n", "left")
     slim = slim.withColumn("copy", F.coalesce(F.col("first") < F.col("id"), F.lit(False)) & (F.col("n_words") >= WINDOW)).drop("first", "n")
+    slim = stage(slim, "slim")
     active = looked_up(rows.where(F.col("n_words") >= WINDOW), firsts, ["sha"], "n", "left").where("first is null or first = id")
     active = stage(active.select("id", "th", F.explode(F.arrays_zip("anchor", "seg", "chk", "pos", "len")).alias("s")).select("id", "th", "s.*"), "active")
+    discard(rows)
 
     cuts = active.agg(F.percentile_approx("id", [k / batches for k in range(1, batches)] or [0.5], 1_000).alias("q")).first()["q"] or []
     bounds = [None, *sorted(set(cuts[: batches - 1])), None]
-    repeated = None
+    found = []
     for lo, hi in zip(bounds, bounds[1:], strict=False):
         batch = active.select(*index.KEY, "id", "th", "pos", "len")
         batch = batch if lo is None else batch.where(F.col("id") > lo)
         batch = batch if hi is None else batch.where(F.col("id") <= hi)
-        found = index.append(batch)
-        repeated = found if repeated is None else repeated.unionByName(found)
+        found.append(index.append(batch))
 
     # segments that an earlier document has go as a whole; under anchors that have several segments, the windows of the
     # first document of each are looked at
     contested = index.contested()
-    known = repeated.withColumn("contested", F.lit(False)).unionByName(contested.withColumn("contested", F.lit(True)))
+    if not index.kept:
+        index.close()
+    known = contested.withColumn("contested", F.lit(True))
+    for repeated in found:
+        known = known.unionByName(repeated.withColumn("contested", F.lit(False)))
     known = known.groupBy(*index.KEY).agg(F.min("first").alias("first"), F.max("contested").alias("contested"))
     gone = (F.col("first.id") < F.col("id")).alias("gone")
     met = stage(active.join(known, list(index.KEY)).where("first.id < id or contested").select("id", "th", "pos", "len", gone, F.col("first.id").alias("wid"), F.col("first.th").alias("wth"), F.col("first.pos").alias("wpos")), "met")
+    if not index.kept:
+        discard(active)
     spans = met.where("gone").drop("gone")
     listed = lambda df: df.groupBy("id", "th").agg(F.collect_list("pos").alias("pos"), F.collect_list("len").alias("len"))
     parts = stage(listed(met.where("not gone")), "parts")
@@ -442,13 +450,14 @@ def _dedup(docs: DataFrame, index: FingerprintIndex, batches: int, with_text: bo
     windows = stage(to_python(texts).select("id", "th", "text", "pos", "len").mapInArrow(_windows(seed, bits), "h1 long, h2 long, id long, th long, pos int"), "windows")
     first = windows.groupBy("h1", "h2").agg(F.min("id").alias("wid"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("wid < last")
     first = stage(first.select("h1", "h2", "wid", "n"), "first")
-    same = stage(looked_up(windows, first, ["h1", "h2"], "n"), "same")
-    places = same.where("id = wid").groupBy("h1", "h2").agg(F.min(F.struct(F.col("th").alias("wth"), F.col("pos").alias("wpos"))).alias("at"), F.first("n").alias("many"))
-    single = stage(same.where("id > wid" if upto is None else f"id > wid and id > {upto}").drop("n"), "later")
-    single = looked_up(single, stage(places, "at"), ["h1", "h2"], "many")
+    same = stage(looked_up(windows, first, ["h1", "h2"], "n", small=False).drop("n"), "same")
+    discard(windows, *found)
+    places = same.where("id = wid").groupBy("h1", "h2").agg(F.min(F.struct(F.col("th").alias("wth"), F.col("pos").alias("wpos"))).alias("at"))
+    places = stage(places.join(first.select("h1", "h2", "n"), ["h1", "h2"]), "places")
+    single = looked_up(same, places, ["h1", "h2"], "n", small=False).where("id > wid" if upto is None else f"id > wid and id > {upto}")
     spans = spans.unionByName(single.select("id", "th", "pos", F.lit(1).alias("len"), "wid", "at.*"))
     spans = stage(spans.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "len", "wid", "wth", "wpos")).alias("spans")), "spans")
-    discard(contested, met, parts, windows, first, same)
+    discard(contested, met, parts, first, same, places)
 
     marked = _wanted(_rows(docs).drop("doc_id"), spans).join(spans, ["id", "th"])
     done = stage(to_python(marked).select("id", "th", "text", "spans").mapInArrow(_cut, CUT), "cut")
