@@ -24,7 +24,7 @@ from tributary.streaming import pipeline
 from tributary.streaming.store import Store
 
 
-def job(spark: SparkSession, sf_dir: str, batches: int = 2, **settings) -> Store:
+def job(spark: SparkSession, sf_dir: str, batches: int = 1, **settings) -> Store:
     """The store after the stream job has read all raw events: each event first, in some batches, and then, in a batch of their own, those that are sent again."""
     at = scratch(spark, "job")
     raw = stage(raw_events(spark, sf_dir).withColumn("_nth", F.row_number().over(Window.partitionBy("event_id").orderBy("event_time"))), "raw")
