@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 def first_per_id(events: DataFrame, key: str = "event_id", order: str = "event_time") -> DataFrame:
     """The earliest row of each id (of several, the one whose columns have the least hash); rows without an id all stay. The same as first_seen() where repeats lie within one time to live."""
-    w = Window.partitionBy(key).orderBy(order, F.xxhash64(*events.columns))
-    keyed = events.where(F.col(key).isNotNull()).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    return keyed.unionByName(events.where(F.col(key).isNull()))
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())  # rows without an id are no one's repeats, nor gathered
+    w = Window.partitionBy(key, "_alone").orderBy(order, F.xxhash64(*events.columns))
+    return events.withColumn("_alone", alone).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_alone")
 
 
 def first_seen(events: DataFrame, ttl_hours: float = 2, extend_on_duplicate: bool = False, key: str = "event_id", order: str = "event_time") -> DataFrame:
