@@ -818,7 +818,7 @@ def test_license_texts(spark):
     """Whole texts, and their terms amid other words or with some changed, are known from each other."""
     rng = random.Random(10)
     filler = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(n))
-    names = [f"{x}-text" for x in ("apache-2.0", "artistic", "cc0-1.0", "gpl-2.0", "gpl-3.0", "isc", "lgpl-2.1", "lgpl-3.0", "mpl-1.1", "mpl-2.0", "unlicense")]
+    names = [f"{x}-text" for x in ("apache-2.0", "artistic", "cc0-1.0", "gpl-2.0", "gpl-3.0", "isc", "lgpl-2.1", "lgpl-3.0", "mpl-1.1", "mpl-2.0", "unlicense", "bsl-1.0", "zlib")]
     texts = {}
     for k, name in enumerate(names):
         w = licenses.TEMPLATES[name].split()
