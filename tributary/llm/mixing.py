@@ -24,6 +24,8 @@ from tributary.llm.sharding import numbered
 
 WEIGHTS = (5, 2, 1)
 SHARDS = 16
+#: Words of a piece of a shard, about 50 MB of text: the most that a task is to sort.
+PIECE_WORDS = 8_000_000
 
 
 def word_count(column: str = "text") -> Column:
@@ -90,7 +92,7 @@ def _by_source(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = 3, shards: int = SHARDS, seed: int = 11, max_blocks: int = 65_536, block_rows: int = 2_000) -> DataFrame:
-    """What is drawn of rows (source, size, h): a staged row per block: source, source_rows, bucket, buckets, source_size, target, drawn (pass and shard of each draw, by pass) and room.
+    """What is drawn of rows (source, size, h): a staged row per block: source, source_rows, bucket, buckets, words, source_size, target, drawn (pass and shard of each draw, by pass) and room.
 
     room is null but for the one block per source in which its target ends: there, the last draw takes that many words. The
     table has `max_blocks` rows and one more for each source at most, whatever the size of the data.
@@ -124,14 +126,14 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = 3, shar
     out = held.join(draws, on & (F.col("bucket") == F.col("_bucket")), "left")
     ends = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("held") > F.col("rest"))
     drawn = F.coalesce("drawn", F.array().cast("array<struct<pass:int,shard:int>>"))
-    return stage(out.select("source", "source_rows", "bucket", "buckets", F.col("words").alias("source_size"), "target", drawn.alias("drawn"), F.when(ends, F.col("rest") - F.col("before")).alias("room")), "plan")
+    return stage(out.select("source", "source_rows", "bucket", "buckets", F.col("held").alias("words"), F.col("words").alias("source_size"), "target", drawn.alias("drawn"), F.when(ends, F.col("rest") - F.col("before")).alias("room")), "plan")
 
 
 def _placed(rows: DataFrame, blocks: DataFrame) -> DataFrame:
     """rows (with source and h) with the row of their block."""
     sources = stage(blocks.groupBy("source").agg(F.first("buckets").alias("_buckets"), F.first("source_rows").alias("source_rows")), "sources")
     rows = _by_source(rows, sources).withColumn("_at", F.pmod("h", "_buckets")).drop("_buckets")
-    state = blocks.withColumnsRenamed({"source": "_source", "bucket": "_bucket"}).drop("buckets", "source_rows")
+    state = blocks.withColumnsRenamed({"source": "_source", "bucket": "_bucket"}).drop("buckets", "source_rows", "words")
     return rows.join(checked(state), F.col("source").eqNullSafe(F.col("_source")) & (F.col("_at") == F.col("_bucket"))).drop("_source", "_bucket", "_at")
 
 
@@ -206,9 +208,11 @@ def arranged(docs: DataFrame, named: str | None = None, seed: int = 11, **settin
     ends = stage(ends.withColumn("d", F.explode(kept)).select(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_key"), F.col("d.shard").alias("shard"), local_order(seed, F.col("d")).alias("place")), "ends")
     cut = own.where("room is not null").select("row", "_id", "_th").dropDuplicates(["_id", "_th"])
     cut = cut.join(checked(ends), F.col("_id").eqNullSafe(F.col("_doc_id")) & (F.col("_th") == F.col("_key"))).select("row", "shard", "place")
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    out = full.unionByName(cut).withColumn("piece", F.pmod("place", F.lit(max(1, parts // shards))))
-    out = out.repartition(parts, "shard", "piece").sortWithinPartitions("shard", "piece", "place")
+    # as many pieces of a shard as there are tasks for it, and more where they would be large
+    words = blocks.agg(F.sum(F.col("words") * F.size("drawn"))).first()[0] or 0
+    pieces = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // shards, -(-words // (shards * PIECE_WORDS)))
+    out = full.unionByName(cut).withColumn("piece", F.pmod(F.col("place"), F.lit(pieces)))
+    out = out.repartitionById(shards * pieces, (F.col("shard") * pieces + F.col("piece")).cast("int")).sortWithinPartitions("shard", "piece", "place")
     return out.select("row.*", *([F.col("shard").alias(unused(docs, named))] if named else []))
 
 
