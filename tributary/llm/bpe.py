@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import text_bytes, to_python
+from tributary.llm.common import lean, text_bytes, to_python
 
 #: The pre-tokenizer pattern that byte-level BPE files with use_regex stand for.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -238,4 +238,4 @@ def bpe_encode(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
-    return to_python(rows).mapInArrow(_encoder(path, keep_ids), schema)
+    return to_python(rows).mapInArrow(lean(_encoder(path, keep_ids)), schema)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import time
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.scratch import discard, release, scratch, shared_dir, stage
 from tributary.functions.ship import ship
 
-__all__ = ["checked", "components", "discard", "kept_rows", "looked_up", "quoted", "read", "release", "scratch", "shared_dir", "stage", "text_bytes", "text_hash", "to_python", "unused", "whole"]
+__all__ = ["checked", "components", "discard", "kept_rows", "lean", "looked_up", "quoted", "read", "release", "scratch", "shared_dir", "stage", "text_bytes", "text_hash", "to_python", "unused", "whole"]
 
 #: The ASCII white space that separates words, as a Java and RE2 pattern.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -31,6 +36,30 @@ def to_python(df: DataFrame, most: str = "4m") -> DataFrame:
     return df
 
 
+def _give_back() -> None:
+    """Hands memory that is free again back to the machine: workers live on between tasks, beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow that gives free memory back about once a second and when it ends."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = time.monotonic()
+        for b in run(batches):
+            yield b
+            if time.monotonic() - last > 1:
+                _give_back()
+                last = time.monotonic()
+        _give_back()
+
+    return own
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """About how many bytes a row takes in memory: strings, binaries and arrays by their contents, all else by a fixed width."""
     size = F.lit(16 + 8 * len(df.columns)).cast("long")

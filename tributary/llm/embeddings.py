@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import checked, components, discard, looked_up, stage, to_python
+from tributary.llm.common import checked, components, discard, lean, looked_up, stage, to_python
 
 THRESHOLD = 0.98
 #: Standard deviations of the confidence bound.
@@ -202,7 +202,7 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     nodes = rows.where("fine").groupBy("label", "length", "v", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     coded = T.StructType([nodes.schema[n] for n in ("node", "copies", "label", "length")] + CODED)
-    codes = stage(to_python(nodes.select("node", "copies", "label", "length", "embedding")).mapInArrow(_coded, coded), "codes")
+    codes = stage(to_python(nodes.select("node", "copies", "label", "length", "embedding")).mapInArrow(lean(_coded), coded), "codes")
 
     # block pairs: codes of the one and queries of the other
     most = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(BLOCK_BYTES) / (F.col("length") * 8))))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import checked, text_bytes, to_python, whole
+from tributary.llm.common import checked, lean, text_bytes, to_python, whole
 
 DIMENSION = 512
 GRAM = 3
@@ -159,7 +159,7 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, parts: int = 16)
         labelled = labelled.join(checked(limits), "lang").where(F.col("h") < F.col("most"))
     rows = labelled.select("lang", text_bytes().alias("text")).repartition(parts)
     found: dict[str, np.ndarray] = {}
-    for r in to_python(rows).mapInArrow(_profiles, "lang string, profile array<double>").collect():
+    for r in to_python(rows).mapInArrow(lean(_profiles), "lang string, profile array<double>").collect():
         found[r["lang"]] = found.get(r["lang"], 0) + np.array(r["profile"])
     found = {k: v for k, v in sorted(found.items()) if np.linalg.norm(v)}
     return {k: units(v[None])[0].astype(np.float32) for k, v in found.items()}
@@ -210,7 +210,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -
     if prototypes is None:
         prototypes = learn(docs.where(~held_out()))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), text_bytes().alias("text"))
-    return to_python(rows).mapInArrow(_classifier(prototypes), "doc_id long, held_out boolean, lang_pred string, score double")
+    return to_python(rows).mapInArrow(lean(_classifier(prototypes)), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def with_language(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = None) -> DataFrame:
@@ -223,4 +223,4 @@ def with_language(docs: DataFrame, prototypes: dict[str, np.ndarray] | None = No
         prototypes = learn(docs.where(~held_out()))
     rows = docs.select(whole(docs))
     found = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("letters", T.BooleanType())])
-    return to_python(rows).mapInArrow(_classifier(prototypes, True), found)
+    return to_python(rows).mapInArrow(lean(_classifier(prototypes, True)), found)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import checked, components, discard, looked_up, stage, text_bytes, text_hash, to_python
+from tributary.llm.common import checked, components, discard, lean, looked_up, stage, text_bytes, text_hash, to_python
 
 SEED = 42
 MAX_BITS = 4
@@ -218,7 +218,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(fps: DataFrame, block: int = 20_000) -> DataFrame:
     """A spanning forest (a, b) per task of the links between the distinct fingerprints of fps (column fp: long), staged."""
     spark = fps.sparkSession
-    all_keys = keyed = stage(to_python(fps).repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))).select("fp").mapInArrow(_keyed, "key long, side byte, fp long"), "keys")
+    all_keys = keyed = stage(to_python(fps).repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))).select("fp").mapInArrow(lean(_keyed), "key long, side byte, fp long"), "keys")
     crowded = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
     crowded = stage(crowded.select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "crowded")
     if crowded.limit(1).count():
@@ -233,7 +233,7 @@ def links(fps: DataFrame, block: int = 20_000) -> DataFrame:
     else:
         keyed = keyed.select(F.col("key").alias("group"), "side", "fp")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    found = stage(keyed.repartition(parts, "group").sortWithinPartitions("group", "side").mapInArrow(_linked, "a long, b long"), "links")
+    found = stage(keyed.repartition(parts, "group").sortWithinPartitions("group", "side").mapInArrow(lean(_linked), "a long, b long"), "links")
     discard(all_keys, crowded)
     return found
 
@@ -246,7 +246,7 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     Texts of any length are read whole, some shingles at a time. An empty table gives an empty result. Other columns are ignored.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("th"), text_bytes().alias("text"))
-    rows = stage(to_python(rows).mapInArrow(_fingerprints, "uid long, doc_id long, th long, fp long"), "fingerprints")
+    rows = stage(to_python(rows).mapInArrow(lean(_fingerprints), "uid long, doc_id long, th long, fp long"), "fingerprints")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
     nodes = stage(rows.groupBy("fp").agg(F.min(first).alias("head"), F.count(F.lit(1)).alias("n")), "nodes")
     forest = links(nodes)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm.common import SPACE, checked, discard, looked_up, scratch, stage, text_bytes, to_python
+from tributary.llm.common import SPACE, checked, discard, lean, looked_up, scratch, stage, text_bytes, to_python
 
 WINDOW = 50
 RUN = 8
@@ -396,7 +396,7 @@ def substring_dedup(docs: DataFrame, batches: int = 3, with_text: bool = False,
 
 def _dedup(docs: DataFrame, index: FingerprintIndex, batches: int, with_text: bool) -> DataFrame:
     seed, bits, upto = index.state["seed"], index.state["bits"], index.state["upto"]
-    rows = stage(to_python(_rows(docs)).mapInArrow(_indexed(seed, bits), INDEXED), "segments")
+    rows = stage(to_python(_rows(docs)).mapInArrow(lean(_indexed(seed, bits)), INDEXED), "segments")
     if index.kept:
         low, high = rows.where(F.col("id") < LAST).agg(F.min("id"), F.max("id")).first()
         if upto is not None and low is not None and low <= upto:
@@ -447,7 +447,7 @@ def _dedup(docs: DataFrame, index: FingerprintIndex, batches: int, with_text: bo
     if upto is not None:
         earlier = stage(listed(contested.where(F.col("first.id") <= upto).select("first.*")), "earlier")
         texts = texts.unionByName(_wanted(index.texts(), earlier).join(earlier, ["id", "th"]))
-    windows = stage(to_python(texts).select("id", "th", "text", "pos", "len").mapInArrow(_windows(seed, bits), "h1 long, h2 long, id long, th long, pos int"), "windows")
+    windows = stage(to_python(texts).select("id", "th", "text", "pos", "len").mapInArrow(lean(_windows(seed, bits)), "h1 long, h2 long, id long, th long, pos int"), "windows")
     first = windows.groupBy("h1", "h2").agg(F.min("id").alias("wid"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("wid < last")
     first = stage(first.select("h1", "h2", "wid", "n"), "first")
     same = stage(looked_up(windows, first, ["h1", "h2"], "n", small=False).drop("n"), "same")
@@ -460,7 +460,7 @@ def _dedup(docs: DataFrame, index: FingerprintIndex, batches: int, with_text: bo
     discard(contested, met, parts, first, same, places)
 
     marked = _wanted(_rows(docs).drop("doc_id"), spans).join(spans, ["id", "th"])
-    done = stage(to_python(marked).select("id", "th", "text", "spans").mapInArrow(_cut, CUT), "cut")
+    done = stage(to_python(marked).select("id", "th", "text", "spans").mapInArrow(lean(_cut), CUT), "cut")
     _verify(docs, index, done.where("wid is not null"))
     cut = done.where("wid is null").select("id", "th", "n_removed", "kept_sha256", *["kept"] * with_text).dropDuplicates(["id", "th"])
 
@@ -493,7 +493,7 @@ def _verify(docs: DataFrame, index: FingerprintIndex, said: DataFrame) -> None:
     if index.state["upto"] is not None:
         texts = texts.unionByName(_wanted(index.texts(), keys))
     texts = texts.withColumnsRenamed({"id": "wid", "th": "wth"}).join(asked, ["wid", "wth"])
-    there = to_python(texts).select("wid", "wth", "text", "places").mapInArrow(_quoted, "wid long, wth long, wpos int, len int, words binary")
+    there = to_python(texts).select("wid", "wth", "text", "places").mapInArrow(lean(_quoted), "wid long, wth long, wpos int, len int, words binary")
     differ = each.join(there, key, "left").where("words is null or least <> words or most <> words")
     if differ.limit(1).count():
         raise Collision("different words have equal fingerprints")
