@@ -36,6 +36,8 @@ Z = 8.0
 #: Vectors of a block at most, and bytes that they take in double precision.
 BLOCK = 16_384
 BLOCK_BYTES = 64 << 20
+#: Vectors of a block that are always allowed.
+SHARE = 256
 
 
 @cache
@@ -205,7 +207,9 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, block: int
     codes = stage(to_python(nodes.select("node", "copies", "label", "length", "embedding")).mapInArrow(lean(_coded), coded), "codes")
 
     # block pairs: codes of the one and queries of the other
-    most = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(BLOCK_BYTES) / (F.col("length") * 8))))
+    # no more vectors in a block than a task's share of all, so that a label that many have is not one task's
+    share = max(SHARE, nodes.count() // max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    most = F.greatest(F.lit(1), F.least(F.lit(min(block, share)), F.floor(F.lit(BLOCK_BYTES) / (F.col("length") * 8))))
     blocks = nodes.groupBy("label", "length").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks"), F.count(F.lit(1)).alias("nodes"))
     dealt = looked_up(codes, blocks, ["label", "length"], "nodes").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
