@@ -201,6 +201,18 @@ def test_log_details(spark):
     assert (got[0]["topic"], got[0]["partition"], got[0]["offset"], got[0]["leader_id"], got[0]["isr"]) == ("raw.events", 4, 99, 2, "1,2,3") and got[1]["task_name"] == "Dedup sink"
 
 
+def test_log_tags_are_counted_after_one_parse(spark):
+    """Neither the scan nor a filter above it repeats the parse, and each pattern is tried once for a line."""
+    from tributary.queries import log_tag_counts
+
+    spark.conf.set("spark.sql.maxPlanStringLength", "100000000")
+    plan = log_tag_counts(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxPlanStringLength")
+    below = plan.split("Generate explode", 1)[1]
+    assert "Filter" not in below.replace("PushedFilters", "").replace("DataFilters", "").replace("PartitionFilters", "") and len(plan) < 100_000
+    assert plan.count("RLIKE(message") == sum(map(len, logs.PATTERNS.values())) + 1
+
+
 def test_percentiles(spark):
     p = perf.indexed_percentiles(spark.range(1, 101).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("v")), ["g"], "v").first()
     assert (p["samples"], p["p50"], p["p95"], p["p99"]) == (100, 51.0, 96.0, 100.0)

@@ -52,14 +52,22 @@ def parse(lines: DataFrame) -> DataFrame:
     out = lines.withColumn("service", service(F.col("container"))).withColumn("role", role(F.col("container"))).withColumn("is_json", F.coalesce(m.startswith("{"), F.lit(False)))
     fields = "level string, loggerName string, message string, thread string, instant struct<epochSecond:bigint,nanoOfSecond:bigint>, mdc struct<jobId:string,taskName:string>"
     out = out.withColumn("json", F.when(F.col("is_json"), F.from_json(m, fields)))
+    # which pattern fits is told once, so that none is tried again for each part
+    forms = [(name, pattern, groups) for name, patterns in PATTERNS.items() for pattern, groups in patterns]
+    form = F.when(F.lit(False), F.lit(None).cast("int"))
+    for name in PATTERNS:
+        own = F.when(F.lit(False), F.lit(None).cast("int"))
+        for k, (of, pattern, _) in enumerate(forms):
+            own = own.when(m.rlike(pattern), k) if of == name else own
+        form = form.when(F.col("service") == name, own)
+    out = out.withColumn("form", form)
+    parts = {}
     for part in PARTS:
-        own = F.lit(None).cast("string")
-        for name, patterns in PATTERNS.items():
-            chain = F.when(F.lit(False), F.lit(None).cast("string"))
-            for pattern, groups in patterns:
-                chain = chain.when(m.rlike(pattern), F.regexp_extract(m, pattern, groups[part]) if part in groups else F.lit(None).cast("string"))
-            own = F.when(F.col("service") == name, chain).otherwise(own)
-        out = out.withColumn(part, F.nullif(own, F.lit("")))
+        own = F.when(F.lit(False), F.lit(None).cast("string"))
+        for k, (_, pattern, groups) in enumerate(forms):
+            own = own.when(F.col("form") == k, F.regexp_extract(m, pattern, groups[part])) if part in groups else own
+        parts[part] = F.nullif(own, F.lit(""))
+    out = out.withColumns(parts)
     j = F.col("json")
     out = out.withColumns({"level": F.coalesce(j["level"], F.col("level")), "logger": F.coalesce(j["loggerName"], F.col("logger")), "thread": F.coalesce(j["thread"], F.col("thread")), "body": F.coalesce(j["message"], F.col("body"))})
     text = F.regexp_replace(F.regexp_replace(F.col("time"), "[T]", " "), ",", ".")
