@@ -92,6 +92,20 @@ def test_validate_dedup_store(spark, tmp_path):
     assert store.read("events").where("event_id = 'late'").count() == C.clean(late).count()
 
 
+def test_batches_are_written_balanced(spark, tmp_path):
+    """A batch makes one file of each small partition, however many tasks its stream has; the session's setting is left as it was."""
+    raw_events(spark, SF).coalesce(1).write.parquet(str(tmp_path / "in"))
+    store = Store(spark, str(tmp_path / "out"))
+    ran(pipeline.start(event_stream(spark, str(tmp_path / "in"), 1), store, str(tmp_path / "cp"), max_skew_hours=None, available_now=True))
+    tables = store.state()["tables"]
+    assert {e["files"] for entries in tables.values() for e in entries} == {1}
+    assert len(tables["events"]) == 30 and store.stats("events")["warnings"] == []
+    off = spark.newSession()
+    off.conf.set("spark.sql.adaptive.enabled", "false")
+    Store(off, str(tmp_path / "other")).append(off.range(10).repartition(3), "t")
+    assert off.conf.get("spark.sql.adaptive.enabled") == "false" and Store(off, str(tmp_path / "other")).stats("t")["files"] == 1
+
+
 def test_null_times(spark, tmp_path):
     """Events without a time are deduplicated by the clock."""
     schema = "event_id string, event_time timestamp, reason string"
