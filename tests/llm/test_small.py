@@ -549,6 +549,30 @@ def test_pii_leaves_words_alone(text):
     assert pii.find(text) == ([], [])
 
 
+@pytest.mark.parametrize(("text", "kind"), [("jean arobase example.com", "email"), ("pepe ARROBA ejemplo.es", "email"), ("hans ät beispiel.de", "email"), ("+3 one 4 five 9 two 6 five 3 5", "phone"), ("+fİve sİx seven one two three four five six", "phone")])
+def test_pii_disguises_that_show_nothing_else(text, kind):
+    """No bracket, worded dot or pair of spelled digits beside the disguise; a dotted capital I in a digit's name."""
+    assert pii.find(f"to {text}, then") == ([], [(kind, 3, 3 + len(text))])
+
+
+def test_pii_early_exit_loses_nothing():
+    """What is told to have no disguise is what no transducer changes."""
+    rng = random.Random(16)
+    some = [*pii.DIGITS, *pii.TIMES, *pii.PLUS_WORDS, *pii.AT_WORDS, *pii.DOT_WORDS, "@", ".", "+", "(", ")", "[", "1", "23", "bob", "example", "com", "de"]
+    left = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice([str.lower, str.upper])(rng.choice(some)) + rng.choice(["", " ", " ", " ", "  ", "-", "."]) for _ in range(rng.randint(1, 8)))
+        if pii.normalise(text) is None:
+            left += 1
+            tape = pii.Tape(text)
+            assert not (pii.characters(text) or pii.marks(text) or pii.addresses(tape) or pii.worded_dots(text) or pii.numbers(text)), text
+    assert left > 5_000
+    text = "+one" + " 1" * 500_000 + " one x"
+    began = time.process_time()
+    pii.find(text)
+    assert time.process_time() - began < 15
+
+
 class PlainTape:
     """The definition of the rewritten text's offsets: a source stretch per character."""
 

@@ -85,7 +85,7 @@ LOOKALIKES = {
     "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ӏ": "l",
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "І": "I", "Ј": "J", "Ѕ": "S",
     "α": "a", "ο": "o", "ν": "v", "ρ": "p", "τ": "t", "υ": "u", "ι": "i", "κ": "k", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
-    "ı": "i", "ⅼ": "l", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "․": ".", "。": ".", "＠": "@", "﹫": "@",
+    "ı": "i", "İ": "I", "ⅼ": "l", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "․": ".", "。": ".", "＠": "@", "﹫": "@",
 }
 #: Marks that show nothing.
 INVISIBLE = frozenset("­​‌‍⁠﻿")
@@ -149,10 +149,10 @@ wiki win work works world xxx xyz zone
 _PROSE = frozenset("the a an this that these those each every any some one another my your his her its our their which what no either neither".split())
 _NUMBER_BEFORE = re.compile(rf"(?:[0-9]|(?<![^\W_])(?:{_any(DIGITS)}))\Z", re.I)
 _NUMBER_AFTER = re.compile(rf"[0-9]|(?:{_any(DIGITS)}|{_any(TIMES)})(?![^\W_])", re.I)
-# what any disguise in ASCII has one of; looked for in the lower-cased text after a space
-_PAIR = re.compile(rf"[\W_](?:{_any([*DIGITS, *TIMES])})[\x20.-]{{1,2}}(?:{_any(DIGITS)})(?![^\W_])")
+# what any disguise without odd characters has one of; looked for in the lower-cased text after a space
+_PAIR = re.compile(rf"[\W_](?:{_any([*DIGITS, *TIMES])})(?:[\x20.-]{{1,2}}[0-9]++)*+[\x20.-]{{1,2}}(?:{_any(DIGITS)})(?![^\W_])")
 _MARK = re.compile(_BRACKETED.pattern)
-_SPACED = (*[f" {w} " for w in DOT_WORDS], " @ ")
+_SPACED = (*[f" {w} " for w in (*DOT_WORDS, *AT_WORDS) if w != "at"], " @ ")  # an "at" needs a dot of another form, too
 _LOOSE = re.compile(r"@[a-z0-9-]+\x20+\.\x20")
 
 
@@ -353,7 +353,7 @@ def numbers(text: str) -> list[tuple[int, int, str]]:
 
 
 def normalise(text: str) -> Tape | None:
-    """The text with its disguises undone, or None if it has none."""
+    """The text with its disguises undone, or None if no transducer would change it."""
     tape = Tape(text)
     if edits := characters(text):
         tape.rewrite(edits)
